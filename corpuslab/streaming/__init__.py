@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference reads whole files and exits; it has no streams, watermarks,
+windows over time or state. Nothing is built here on purpose: every operator
+in this package is a batch DataFrame transformation and can be applied inside
+``foreachBatch`` of a Structured Streaming query unchanged."""
