@@ -58,8 +58,10 @@ def _with_history(arr: Column) -> Column:
 
 def fit(sent: DataFrame, corpus_col: str = "corpus", tokens_col: str = "tokens") -> Model:
     """``Trigram_LM(sentences)`` for every corpus value at once."""
-    pos = (sent.select(F.col(corpus_col).alias("corpus"),
-                       F.explode(_with_history(T.start_padded(tokens_col))).alias("h"))
+    # padded array projected first: referenced three times below, so it is
+    # computed once per row instead of once per element
+    pos = (sent.select(F.col(corpus_col).alias("corpus"), T.start_padded(tokens_col).alias("_t"))
+           .select("corpus", F.explode(_with_history(F.col("_t"))).alias("h"))
            .select("corpus", "h.w", "h.w1", "h.w2"))
     uni = pos.groupBy("corpus", "w").agg(F.count(F.lit(1)).alias("c1"))
     bi = (pos.filter(F.col("w1").isNotNull())

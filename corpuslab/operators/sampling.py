@@ -15,23 +15,28 @@ from ..functions import text as T
 MASK = T.MASK
 
 
-def mask_positions(n_tokens: Column, key: Column, x: float, seed=42) -> Column:
-    """0-based positions to mask: the first ``mask_count`` positions in md5
-    order. In-array (sort of n small structs), so no shuffle."""
-    k = T.mask_count(n_tokens, x)
-    keyed = F.transform(F.sequence(F.lit(0), n_tokens - 1), lambda i: F.struct(
-        F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"), F.lit(":"), i.cast("string"))).alias("h"),
-        i.alias("i")))
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda s: s["i"])
+def _hash(seed, key: Column, i: Column) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"), F.lit(":"), i.cast("string")))
 
 
 def mask_tokens(df: DataFrame, x: float, seed=42, key: str = "sent_id",
                 tokens_col: str = "tokens") -> DataFrame:
-    """``mask_tokens_in_sentences``: adds ``mask_pos`` and ``masked``."""
-    pos = mask_positions(F.size(tokens_col), F.col(key), x, seed)
-    return (df.withColumn("mask_pos", pos)
-            .withColumn("masked", F.transform(
-                tokens_col, lambda t, i: F.when(F.array_contains("mask_pos", i), F.lit(MASK)).otherwise(t))))
+    """``mask_tokens_in_sentences``: the first ``mask_count`` positions in
+    md5 order become ``[*]``. Done in-array (sort by hash, mark the first k,
+    sort back by position), so no shuffle; no lambda refers to another
+    computed array, so Catalyst cannot inline an O(n) expression into a
+    per-element lambda. Adds ``masked`` and ``mask_pos`` (ascending)."""
+    k = T.mask_count(F.size(tokens_col), x)
+    keyed = F.transform(tokens_col, lambda t, i: F.struct(
+        _hash(seed, F.col(key), i).alias("h"), i.alias("i"), t.alias("t")))
+    marked = F.transform(F.array_sort(keyed), lambda s, j: F.struct(
+        s["i"].alias("i"), F.when(j < k, F.lit(MASK)).otherwise(s["t"]).alias("t"),
+        (j < k).alias("m")))
+    back = F.array_sort(marked)
+    return (df.withColumn("_mk", back)
+            .withColumn("masked", F.transform("_mk", lambda s: s["t"]))
+            .withColumn("mask_pos", F.transform(F.filter("_mk", lambda s: s["m"]), lambda s: s["i"]))
+            .drop("_mk"))
 
 
 def sample_n(df: DataFrame, n: int, seed=42, key: str = "sent_id", strict: bool = True) -> DataFrame:

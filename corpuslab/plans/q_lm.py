@@ -67,21 +67,29 @@ msk AS (SELECT s.sent_id, s.corpus, s.tokens,
                list_transform(s.tokens, lambda x, j: CASE WHEN list_contains(mk.pos, j - 1) THEN '[*]' ELSE x END) AS masked
         FROM sentences s JOIN (SELECT sent_id, list(i) AS pos FROM mp WHERE r <= k GROUP BY sent_id) mk USING (sent_id))"""
 
-RESTORE_CTES = f"""rec(sent_id, i, p1, tok) AS (
-  SELECT sent_id, -1, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM msk
+# recursion over the masks of a sentence in order (depth = most masks in a
+# sentence); a mask's context is an original token or one of the two
+# previous fills
+RESTORE_CTES = f"""mk AS MATERIALIZED (SELECT sent_id, j, row_number() OVER (PARTITION BY sent_id ORDER BY j) AS ord,
+              CASE WHEN j >= 1 THEN masked[j] END AS o1, CASE WHEN j >= 2 THEN masked[j - 1] END AS o2
+       FROM (SELECT sent_id, masked, unnest(range(0, len(masked))) AS j FROM msk) WHERE masked[j + 1] = '[*]'),
+fbv AS MATERIALIZED (SELECT fallback FROM fb WHERE corpus = '{PLENARY}'),
+bnp AS MATERIALIZED (SELECT w1, w2, token FROM bn WHERE corpus = '{PLENARY}'),
+rec(sent_id, ord, j, tok, pj, ptok) AS (
+  SELECT DISTINCT sent_id, CAST(0 AS BIGINT), CAST(-10 AS BIGINT), CAST(NULL AS VARCHAR), CAST(-10 AS BIGINT), CAST(NULL AS VARCHAR) FROM mk
   UNION ALL
-  SELECT r.sent_id, r.i + 1, r.tok,
-         CASE WHEN m.masked[r.i + 2] = '[*]'
-              THEN coalesce(bn.token, (SELECT fallback FROM fb WHERE corpus = '{PLENARY}'))
-              ELSE m.masked[r.i + 2] END
-  FROM rec r JOIN msk m ON m.sent_id = r.sent_id
-  LEFT JOIN bn ON bn.corpus = '{PLENARY}'
-       AND bn.w1 = CASE WHEN r.i + 1 >= 2 THEN r.p1 ELSE '<s_0>' END
-       AND bn.w2 = CASE WHEN r.i + 1 >= 1 THEN r.tok ELSE '<s_1>' END
-       AND m.masked[r.i + 2] = '[*]'
-  WHERE r.i + 1 < len(m.masked)),
+  SELECT m.sent_id, m.ord, m.j, coalesce(bnp.token, (SELECT fallback FROM fbv)), r.j, r.tok
+  FROM rec r JOIN mk m ON m.sent_id = r.sent_id AND m.ord = r.ord + 1
+  LEFT JOIN bnp ON bnp.w1 = (CASE WHEN m.j < 2 THEN '<s_0>' WHEN r.j = m.j - 2 THEN r.tok
+                                  WHEN r.pj = m.j - 2 THEN r.ptok ELSE m.o2 END)
+               AND bnp.w2 = (CASE WHEN m.j < 1 THEN '<s_1>' WHEN r.j = m.j - 1 THEN r.tok ELSE m.o1 END)),
+fills AS (SELECT sent_id, j, tok FROM rec WHERE ord > 0),
+rpos AS (SELECT msk.sent_id, p.j, coalesce(f.tok, msk.masked[p.j + 1]) AS tok
+         FROM msk, (SELECT sent_id, unnest(range(0, len(masked))) AS j FROM msk) p
+         LEFT JOIN fills f ON f.sent_id = p.sent_id AND f.j = p.j
+         WHERE p.sent_id = msk.sent_id),
 rst AS (SELECT m.sent_id, m.corpus, m.tokens, m.masked, rr.restored
-        FROM msk m JOIN (SELECT sent_id, list(tok ORDER BY i) AS restored FROM rec WHERE i >= 0 GROUP BY sent_id) rr
+        FROM msk m JOIN (SELECT sent_id, list(tok ORDER BY j) AS restored FROM rpos GROUP BY sent_id) rr
         USING (sent_id))"""
 
 GEN = "list_filter(list_transform(masked, lambda x, j: CASE WHEN x = '[*]' THEN restored[j] END), lambda y: y IS NOT NULL)"
