@@ -27,6 +27,17 @@ def file_name(doc_id, lang) -> "F.Column":
                     F.lit("_"), F.col(doc_id).cast("string"), F.lit(".docx"))
 
 
+def file_name_parts(name) -> tuple:
+    """``extract_metadata``: drop the extension, split on ``_``; part 0 is
+    the parliament number (NULL when not an integer, where the reference
+    aborts), part 1 ``ptm`` -> plenary, ``ptv`` -> committee, else unknown."""
+    parts = F.split(F.regexp_replace(F.col(name) if isinstance(name, str) else name, r"\.[^.]*$", ""), "_")
+    knesset = parts.getItem(0).try_cast("long")
+    ptype = (F.when(parts.getItem(1) == "ptm", "plenary").when(parts.getItem(1) == "ptv", "committee")
+             .otherwise("unknown"))
+    return knesset, ptype
+
+
 def phrases(turns: DataFrame, text_col: str = "text") -> DataFrame:
     """``break_text_into_phrases``: one row per non-empty stripped phrase
     with its piece position."""
@@ -75,15 +86,14 @@ def document_turns(spark: SparkSession, sf_dir: str, preset: Preset = LATIN) ->
     """Each document is one speaker turn: speaker = source, corpus = lang."""
     docs = spread(table(spark, sf_dir, "documents"), "doc_id")
     pname = file_name("doc_id", "lang")
-    parts = F.split(F.regexp_replace(pname, r"\.[^.]*$", ""), "_")
+    knesset, ptype = file_name_parts(pname)
     return docs.select(
         F.col("doc_id").alias("file_id"),
         F.lit(0).cast("long").alias("turn_id"),
         F.col("lang").alias("corpus"),
         pname.alias("protocol_name"),
-        parts.getItem(0).try_cast("long").alias("knesset_number"),
-        F.when(parts.getItem(1) == "ptm", "plenary").when(parts.getItem(1) == "ptv", "committee")
-        .otherwise("unknown").alias("protocol_type"),
+        knesset.alias("knesset_number"),
+        ptype.alias("protocol_type"),
         protocol_number("text", preset).alias("protocol_number"),
         F.col("source").alias("speaker_name"),
         T.paragraphs_joined("text").alias("text"),
