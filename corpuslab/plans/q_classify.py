@@ -3,6 +3,8 @@ labelled reviews and their samples."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -11,6 +13,7 @@ from ..operators import features as FT
 from ..operators import knn as KNN
 from ..operators import sampling as M
 from ..operators.sentences import sentence_table
+from ..session import materialize
 from ..sources.tables import table
 from . import sqlfrag as S
 from .registry import query
@@ -275,7 +278,8 @@ SELECT task, name, round(precision, 6) AS precision, round(recall, 6) AS recall,
 
 def _cv_predictions(spark, sf_dir, binary: bool):
     f = M.stratified_folds(FT.custom_features(_balanced(spark, sf_dir, binary)), "class", 5, SEED)
-    f = f.select("sent_id", "class", "fold", *FT.FEATURES).withColumn("_one", F.lit(1))
+    f = materialize(f.select("sent_id", "class", "fold", *FT.FEATURES).withColumn("_one", F.lit(1)),
+                    os.path.abspath(sf_dir), f"cv_features_{binary}")
     vec = F.array(*[F.col(c) for c in FT.FEATURES])
     preds = []
     for k in range(5):  # one scaler per fold: the moments of the train folds,

@@ -62,3 +62,19 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     app = spark.sparkContext.applicationId
     key = hashlib.sha1("/".join(parts).encode()).hexdigest()[:12]
     return os.path.join(base, "corpuslab", app, f"{parts[-1]}-{key}")
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialize(df, *key: str):
+    """Write ``df`` once per application as Parquet in the shared scratch
+    folder and read it back: cuts lineage (later actions do not recompute
+    it), survives executor loss, keeps column pruning."""
+    spark = df.sparkSession
+    k = (spark.sparkContext.applicationId,) + key
+    if k not in _MATERIALIZED:
+        path = scratch_path(spark, *key)
+        df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[k] = path
+    return spark.read.parquet(_MATERIALIZED[k])
