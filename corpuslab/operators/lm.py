@@ -30,7 +30,7 @@ S0, S1 = T.START_SYMBOLS
 UNK = "<UNK>"
 
 # a count table is broadcast only below this many rows (checked, not assumed)
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 @dataclass
@@ -119,7 +119,8 @@ def sentence_logprob(test: DataFrame, m: Model, key: str = "sent_id", model_col:
                      tokens_col: str = "tokens") -> DataFrame:
     """``calculate_prob_of_sentence``: (key, model, logprob) = Σ log2 p."""
     pos = positions(test.select(key, model_col, tokens_col), tokens_col)
-    scored = interpolated(pos, m, model_col)
+    vocab = m.stats.agg(F.sum("vocab_size")).first()[0]  # one tiny action: size check
+    scored = interpolated(pos, m, model_col, vocab_rows=vocab)
     return scored.groupBy(key, model_col).agg(F.sum(F.log2("p")).alias("logprob"))
 
 
@@ -181,7 +182,8 @@ def restore(masked: DataFrame, m: Model, model: str, key: str = "sent_id",
     checkpointed to the shared checkpoint folder (lineage cut, survives
     executor loss). Adds ``restored`` (array) and ``generated`` (tokens put
     in the masks, in order)."""
-    bn = best_next(m).filter(F.col("corpus") == model).select("w1", "w2", "token")
+    # the model's next-token table is read by every round: cut it once
+    bn = best_next(m).filter(F.col("corpus") == model).select("w1", "w2", "token").checkpoint()
     fb_rows = fallback(m).filter(F.col("corpus") == model).select("fallback").take(1)
     fb = fb_rows[0][0] if fb_rows else UNK
     others = [c for c in masked.columns if c != key]
@@ -226,7 +228,8 @@ def masked_perplexity(rows: DataFrame, m: Model, model_col: str = "model", key:
     pos = positions(test.select(key, model_col, F.col(restored_col).alias("tokens"),
                                 F.col(masked_col).alias("_m")), "tokens")
     pos = pos.filter(F.col("_m")[F.col("i")] == T.MASK).drop("_m")
-    lp = (interpolated(pos, m, model_col).groupBy(key, model_col)
+    vocab = m.stats.agg(F.sum("vocab_size")).first()[0]
+    lp = (interpolated(pos, m, model_col, vocab_rows=vocab).groupBy(key, model_col)
           .agg(F.avg(F.log2("p")).alias("_avg")))
     return (test.select(key, model_col).join(lp, [key, model_col], "left")
             .select(key, model_col, F.when(F.col("_avg").isNull(), F.lit(float("inf")))

@@ -12,7 +12,7 @@ from ..operators import lm as LM
 from ..operators import ngrams as G
 from ..operators import sampling as M
 from ..operators.sentences import sentence_table
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.tables import table
 from . import sqlfrag as S
 from .registry import query
@@ -98,7 +98,11 @@ GEN = "list_filter(list_transform(masked, lambda x, j: CASE WHEN x = '[*]' THEN
 # ---------------------------------------------------------------- helpers
 
 def _model(spark, sf_dir):
-    return LM.fit(sentence_table(spark, sf_dir))
+    """The corpus models, written once per application to the shared
+    checkpoint folder: every LM query reuses the same count tables."""
+    m = LM.fit(sentence_table(spark, sf_dir))
+    key = os.path.abspath(sf_dir)
+    return LM.Model(*[materialize(getattr(m, n), key, f"lm_{n}") for n in ("uni", "bi", "tri", "stats")])
 
 
 def _masked(spark, sf_dir):
