@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import q_classify, q_io, q_lm, q_ngrams, q_prompts, q_text, q_transcripts, q_vectors  # noqa: F401
+    from . import q_classify, q_generate, q_io, q_lm, q_ngrams, q_prompts, q_text, q_transcripts, q_vectors  # noqa: F401
