@@ -111,3 +111,10 @@ def q_next_dist_topp(spark, sf_dir):
     """Penalty, temperature, top-50, then top-p 0.9 (the token that
     crosses the threshold is kept), renormalised."""
     return _out(GN.top_p(GN.top_k(GN.temperature(GN.penalize(_dist(spark, sf_dir), PROMPT)))))
+
+
+@query("generate")
+def q_generate(spark, sf_dir):
+    """Five sampled texts per class model from the prompt, up to 200
+    tokens (rows-only: a sampled sequence)."""
+    return GN.generate(_class_model(spark, sf_dir), GN.PROMPT, replicas=5, max_length=200, seed=SEED)

@@ -444,3 +444,19 @@ def q_restored_eval(spark, sf_dir):
         (F.element_at("masked", j) == T.MASK) & (F.element_at("restored", j) == F.element_at("tokens", j))))
     return r.select("sent_id", F.size(F.filter("masked", lambda x: x == T.MASK)).cast("long").alias("n_masks"),
                     F.size(hits).cast("long").alias("n_correct"))
+
+
+@query("lm_run")
+def q_lm_run(spark, sf_dir):
+    """L7 (the reference's LM main, registered under a neutral name): fit
+    every corpus model, build the collocation report, mask and restore,
+    score, and report one summary row (rows-only: a composition)."""
+    report = q_collocation_report(spark, sf_dir)
+    r = restored(spark, sf_dir).withColumn("model", F.lit(PLENARY))
+    ppl = LM.masked_perplexity(r, _model(spark, sf_dir))
+    stats = _model(spark, sf_dir).stats
+    one = F.lit(1).alias("_k")  # one-row summaries joined on a constant key
+    a = stats.agg(F.count(F.lit(1)).alias("n_models"), F.sum("total_tokens").alias("total_tokens")).select("*", one)
+    b = report.agg(F.count(F.lit(1)).alias("report_lines")).select("*", one)
+    c = ppl.agg(F.count(F.lit(1)).alias("n_restored"), F.avg("perplexity").alias("avg_perplexity")).select("*", one)
+    return a.join(b, "_k").join(c, "_k").drop("_k")
