@@ -152,3 +152,13 @@ def reviews(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _or(cols):
     return functools.reduce(lambda a, b: a | b, cols)
+
+
+def sparse_vectors(terms: DataFrame, vocab: DataFrame, key: str = "id") -> DataFrame:
+    """(key, term, weight) -> (key, idx array<int>, val array<double>) with
+    term indices from the (bounded) vocabulary order."""
+    idx = vocab.withColumn("j", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+    ent = terms.join(F.broadcast(idx), "term").groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("j", "weight"))).alias("_e"))
+    return ent.select(key, F.transform("_e", lambda e: e["j"]).alias("idx"),
+                      F.transform("_e", lambda e: e["weight"]).alias("val"))

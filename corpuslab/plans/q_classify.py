@@ -418,9 +418,8 @@ def q_score_sentences(spark, sf_dir):
              .filter(F.col("text") != ""))
     wts = FT.tfidf_transform(lines, model)
     vocab = model.select("term")
-    train = FT.dense_vectors(wtr, vocab).join(bal.select("id", "label"), "id")
-    test = lines.select("id").join(FT.dense_vectors(wts, vocab), "id", "left")
-    size = vocab.count()
-    test = test.withColumn("vec", F.coalesce("vec", F.array_repeat(F.lit(0.0), size)))
-    pred = KNN.vote(KNN.knn(test, train, 7, metric="unit"))
+    size = vocab.count()  # <= max_terms
+    train = FT.sparse_vectors(wtr, vocab).join(bal.select("id", "label"), "id")
+    test = lines.select("id").join(FT.sparse_vectors(wts, vocab), "id", "left")  # no term -> zero vector
+    pred = KNN.vote(KNN.knn_sparse_unit(test, train, size, 7))
     return pred.select(F.col("test_id").alias("line_id"), FT.decode(F.col("predicted")).alias("label"))
