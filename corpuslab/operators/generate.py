@@ -32,10 +32,12 @@ def distribution(m: LM.Model, context: tuple[str, str]) -> DataFrame:
 
 
 def softmax(df: DataFrame, logit: str = "logit") -> DataFrame:
-    w = Window.partitionBy("model")
-    mx = F.max(logit).over(w)
-    e = F.exp(F.col(logit) - mx)
-    return df.withColumn("prob", e / F.sum(e).over(w))
+    """Per-model softmax with aggregates (partial, map-side) and a join of
+    one row per model, not a window over a whole vocabulary."""
+    mx = df.groupBy("model").agg(F.max(logit).alias("_mx"))
+    d = df.join(F.broadcast(mx), "model").withColumn("_e", F.exp(F.col(logit) - F.col("_mx")))
+    z = d.groupBy("model").agg(F.sum("_e").alias("_z"))
+    return d.join(F.broadcast(z), "model").withColumn("prob", F.col("_e") / F.col("_z")).drop("_mx", "_e", "_z")
 
 
 def penalize(df: DataFrame, seen: list[str], penalty: float = PENALTY) -> DataFrame:

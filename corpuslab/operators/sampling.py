@@ -49,22 +49,47 @@ def sample_n(df: DataFrame, n: int, seed=42, key: str = "sent_id", strict: bool
     return out
 
 
+def group_rank(df: DataFrame, by: list, order: list, name: str = "_rank") -> DataFrame:
+    """Exact 1-based rank inside each group by ``order`` (ascending value
+    expressions; negate a number for descending), without sorting a
+    whole group in one task (a group may hold a third of all rows):
+
+    1. range-partition on (group, order) and cut lineage, so a hot group is
+       spread over many partitions in order;
+    2. number rows inside each (partition, group) piece;
+    3. add the sizes of the same group's earlier pieces (a small table of
+       partitions x groups, broadcast).
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    oc = [F.col(c) if isinstance(c, str) else c for c in order]
+    keyed = df.select("*", *[c.alias(f"_o{i}") for i, c in enumerate(oc)])
+    okeys = [f"_o{i}" for i in range(len(oc))]
+    part = (keyed.repartitionByRange(n, *by, *okeys).withColumn("_pid", F.spark_partition_id())
+            .checkpoint())  # fixes the partition of every row
+    local = part.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", *by).orderBy(*okeys)))
+    sizes = part.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
+    offs = sizes.withColumn("_off", F.coalesce(F.sum("_c").over(
+        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (local.join(F.broadcast(offs.select("_pid", *by, "_off")), ["_pid", *by])
+            .withColumn(name, (F.col("_lr") + F.col("_off")).cast("long"))
+            .drop("_pid", "_lr", "_off", *okeys))
+
+
 def per_group_n(df: DataFrame, by: str, n, seed=42, key: str = "sent_id") -> DataFrame:
     """``n`` rows per group (``n`` an int or a Column such as the smallest
-    class size): row_number over md5 order <= n."""
-    w = Window.partitionBy(by).orderBy(T.md5_order(seed, key), F.col(key))
+    class size): rank in md5 order <= n, ranked with ``group_rank``."""
     lim = F.lit(n) if isinstance(n, int) else n
-    return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= lim).drop("_r")
+    r = group_rank(df, [by], [T.md5_order(seed, key), F.col(key)], "_r")
+    return r.filter(F.col("_r") <= lim).drop("_r")
 
 
 def balance(df: DataFrame, by: str = "class", seed=42, key: str = "sent_id") -> DataFrame:
     """``balance_classes``: every class down-sampled to the smallest class
-    size. Class sizes are one row per class; the minimum is attached with a
-    window over that tiny table and joined back on the class (broadcast of a
-    table whose size is the number of classes)."""
-    sizes = (df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_min", F.min("_n").over(Window.partitionBy())).drop("_n"))
-    return per_group_n(df.join(F.broadcast(sizes), by), by, F.col("_min"), seed, key).drop("_min")
+    size (one aggregate gives the size; a scalar)."""
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    m = sizes.agg(F.min("_n")).first()[0] or 0
+    return per_group_n(df, by, int(m), seed, key)
 
 
 def shuffled(df: DataFrame, seed=42, key: str = "sent_id") -> DataFrame:
@@ -75,9 +100,9 @@ def shuffled(df: DataFrame, seed=42, key: str = "sent_id") -> DataFrame:
 
 def stratified_folds(df: DataFrame, label: str, k: int = 5, seed=42, key: str = "sent_id") -> DataFrame:
     """Fold 0..k-1 per row: each label's rows in md5 order dealt round-robin,
-    so every fold holds ~1/k of every class."""
-    w = Window.partitionBy(label).orderBy(T.md5_order(seed, key), F.col(key))
-    return df.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    so every fold holds ~1/k of every class (rank via ``group_rank``)."""
+    r = group_rank(df, [label], [T.md5_order(seed, key), F.col(key)], "_r")
+    return r.withColumn("fold", ((F.col("_r") - 1) % k).cast("int")).drop("_r")
 
 
 def train_test(df: DataFrame, test_fraction: float = 0.2, seed=42, key: str = "sent_id") -> DataFrame:

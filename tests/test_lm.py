@@ -78,3 +78,14 @@ def test_ngrams_guard(spark):
     df = spark.createDataFrame([(["a"],)], "t array<string>")
     from corpuslab.functions import text as T
     assert df.select(T.ngrams(F.col("t"), 2).alias("g")).first()["g"] == []
+
+
+def test_group_rank_equals_window_rank_with_hot_group(spark):
+    from pyspark.sql import Window
+    rows = [(i, "hot" if i % 3 else f"g{i % 7}") for i in range(600)]
+    df = spark.createDataFrame(rows, "sent_id long, grp string")
+    order = [M.T.md5_order(42, "sent_id"), F.col("sent_id")]
+    got = {(r["sent_id"], r["_rank"]) for r in M.group_rank(df, ["grp"], order).collect()}
+    w = Window.partitionBy("grp").orderBy(*order)
+    want = {(r["sent_id"], r["rk"]) for r in df.withColumn("rk", F.row_number().over(w)).collect()}
+    assert got == want
