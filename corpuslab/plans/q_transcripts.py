@@ -265,3 +265,33 @@ def q_nonblank_lines(spark, sf_dir):
     return (b.select("item_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
             .select("item_id", F.col("line_no").cast("long").alias("line_no"), T.py_strip("line").alias("line"))
             .filter(F.col("line") != ""))
+
+
+_DOCX: dict = {}
+
+
+def _docx_folder(spark, sf_dir):
+    """The conversations written as one .docx per transcript into the
+    shared scratch folder (once per application)."""
+    import os
+    from ..session import scratch_path
+    from ..sources import docx as DX
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _DOCX:
+        folder = scratch_path(spark, os.path.abspath(sf_dir), "docx")
+        DX.write_folder(SRC.raw_paragraphs(spark, sf_dir).select("protocol_name", "para_idx", "text"), folder)
+        _DOCX[key] = folder
+    return _DOCX[key]
+
+
+@query("docx_paragraphs", f"""WITH {PARAS},
+ranked AS (SELECT protocol_name, text, row_number() OVER (PARTITION BY protocol_name ORDER BY para_idx) - 1 AS i
+           FROM (SELECT protocol_name, turn * 10000 + line AS para_idx, text FROM rawp))
+SELECT protocol_name, CAST(i AS BIGINT) AS para_idx, {S.strip('text')} AS text FROM ranked WHERE {S.strip('text')} <> ''""")
+def q_docx_paragraphs(spark, sf_dir):
+    """Folder scan of .docx transcripts (binaryFile + mapInPandas with
+    the standard zip/XML parser), paragraphs stripped and blanks dropped."""
+    from ..sources import docx as DX
+    p = DX.read_paragraphs(spark, _docx_folder(spark, sf_dir))
+    return (p.withColumn("text", T.py_strip("text")).filter(F.col("text") != "")
+            .select("protocol_name", "para_idx", "text"))
