@@ -220,7 +220,8 @@ def q_collocation_report(spark, sf_dir):
         "corpus", "n", F.lit("Frequency").alias("metric"), "rank", F.col("ngram").alias("collocation"))
     tfidf = G.tfidf_collocations(sent, (2, 3, 4)).select(
         "corpus", "n", F.lit("TF-IDF").alias("metric"), "rank", F.col("ngram").alias("collocation"))
-    body = freq.unionByName(tfidf)
+    # written once: the body feeds both the report and the empty-list check
+    body = materialize(freq.unionByName(tfidf), os.path.abspath(sf_dir), "colloc_body")
     grid = (sent.select("corpus").distinct()
             .withColumn("n", F.explode(F.array(*[F.lit(n) for n in (2, 3, 4)])))
             .withColumn("metric", F.explode(F.array(F.lit("Frequency"), F.lit("TF-IDF")))))
