@@ -183,11 +183,10 @@ def restore(masked: DataFrame, m: Model, model: str, key: str = "sent_id",
     executor loss). Adds ``restored`` (array) and ``generated`` (tokens put
     in the masks, in order)."""
     # the model's next-token table is read by every round: cut it once
-    # hash-partitioned on the join key before the cut: checkpoint keeps the
-    # partitioning, so each round shuffles only the (smaller) ready masks
-    nparts = int(masked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bn = (best_next(m).filter(F.col("corpus") == model).select("w1", "w2", "token")
-          .repartition(nparts, "w1", "w2").checkpoint())
+    # the model's next-token table is read by every round: cut it once. It is
+    # not pre-partitioned on purpose: with both sides shuffled, adaptive
+    # execution can split a hot context of the ready masks (skew join)
+    bn = best_next(m).filter(F.col("corpus") == model).select("w1", "w2", "token").checkpoint()
     fb_rows = fallback(m).filter(F.col("corpus") == model).select("fallback").take(1)
     fb = fb_rows[0][0] if fb_rows else UNK
     others = [c for c in masked.columns if c != key]
