@@ -144,7 +144,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 0
     """Writes the shards of ``docs`` in ascending order of doc_id."""
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text"), F.xxhash64("text").alias("h"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
-    rows.mapInArrow(_shards(path or bpe_50k(), end_id, shard_ids), SHARD).write.option("compression", "zstd").parquet(folder)
+    rows.mapInArrow(_shards(path or bpe_50k(), end_id, shard_ids), SHARD).write.parquet(folder)
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +179,7 @@ def lookup(shard: dict, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
     return out[:, 0], out[:, 1], out[:, 2]
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], with_ids: bool) -> Iterator[pa.RecordBatch]:
     """Each row by its key through the index; rows that repeat a key or have none by their place after it."""
     for b in batches:
         for shard in b.to_pylist():
@@ -197,14 +197,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, shard["part"], np.int32)), pa.array(np.full(n, shard["seq"], np.int32)),
                  pa.array(keys, mask=~known), pa.array(a), pa.array(z - a), pa.array(crc, pa.int64()),
-                 pa.array([wide[i:j].tobytes() for i, j in zip(a.tolist(), z.tolist())], pa.binary())],
+                 pa.array([wide[i:j].tobytes() if with_ids else None for i, j in zip(a.tolist(), z.tolist())], pa.binary())],
                 names=["part", "seq", "doc_id", "at", "n_tokens", "ids_crc32", "ids"])
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
+def read(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32, ids of every row written."""
     shards = spark.read.schema(SHARD).parquet(folder)
-    rows = shards.mapInArrow(_read, "part int, seq int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
+    rows = shards.mapInArrow(lambda batches: _read(batches, with_ids), "part int, seq int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint, ids binary")
     starts = manifest(spark, folder).select("part", "seq", F.col("start").alias("shard_start"))
     return rows.join(starts, ["part", "seq"]).select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "ids")
 

@@ -31,7 +31,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "shards")
     op5_shards.write(table(spark, sf_dir, "documents"), folder)
-    return op5_shards.read(spark, folder).drop("ids")
+    return op5_shards.read(spark, folder, with_ids=False).drop("ids")
 
 
 def op6_word_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,11 @@ text cut at such spaces therefore has the ids of its chunks, one after the other
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections import defaultdict
-from itertools import chain, count
+from itertools import chain, count, islice
 
 import numpy as np
 
@@ -18,6 +19,8 @@ from .common import offsets, ragged_index
 
 #: White space on both sides of a space, or before it at the end.
 _UNSAFE = re.compile(r"\s \s|\s \Z")
+#: A text without any of these needs no search: white space before a space.
+_BEFORE = tuple(chr(c) + " " for c in range(0x3001) if chr(c).isspace())
 _SAFE_CUT = re.compile(r" (?=\S)")
 #: Begins the key of a text's first chunk, which has no space before it; no text holds it.
 _FIRST = "\ud800"
@@ -27,33 +30,62 @@ _ENCODERS: dict = {}
 
 def cut(text: str) -> list[str]:
     """The chunks; all but the first have had a space before them."""
-    parts = text.split(" ") if not _UNSAFE.search(text) else _SAFE_CUT.split(text)
+    unsafe = any(x in text for x in _BEFORE) and _UNSAFE.search(text)
+    parts = _SAFE_CUT.split(text) if unsafe else text.split(" ")
     parts[0] = _FIRST + parts[0]
     return parts
 
 
 class ChunkEncoder:
-    """Keeps the ids of up to ``keep`` distinct chunks, then starts anew (bounded memory)."""
+    """Keeps the ids of up to ``keep`` distinct chunks, then only those of the first third,
+    which are the usual ones (bounded memory)."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.keep = keep
-        self.reset()
-
-    def reset(self):
         self.number: dict = defaultdict(count().__next__)
         self.starts = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.uint32)
         self.known = 0  # chunks with ids
         self.used = 0  # of flat
 
+    def _forget(self):
+        stay = self.keep // 3
+        number = defaultdict(count(stay).__next__)
+        number.update(islice(self.number.items(), stay))
+        self.number, self.known, self.used = number, stay, int(self.starts[stay])
+
+    def _encoded(self, keys: list[str]) -> list[list[int]]:
+        """Ids of new chunks. A full stop or comma after a letter is a pre-token of its own,
+        so a word's ids serve with and without it."""
+        todo: dict = {}
+        parts = []
+        for key in keys:
+            word = key.rstrip(".,")
+            if len(word) == len(key) or not word[-1:].isalpha():
+                word = key
+            n = self.number.get(word, self.known)
+            known = self.flat[self.starts[n]:self.starts[n + 1]].tolist() if n < self.known else None
+            tail = key[len(word):]
+            if known is None:
+                todo.setdefault(word[1:] if word[:1] == _FIRST else " " + word)
+            if tail:
+                todo.setdefault(tail)
+            parts.append((known, word, tail))
+        ids = dict(zip(todo, (e.ids for e in self.tokenizer.encode_batch_fast(list(todo), add_special_tokens=False))))
+        return [(ids[word[1:] if word[:1] == _FIRST else " " + word] if known is None else known) + (ids[tail] if tail else [])
+                for known, word, tail in parts]
+
     def _learn(self, chunks: list[str]):
-        plain = [c[1:] if c[:1] == _FIRST else " " + c for c in chunks]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)]
+        gc.disable()  # many small lists, none of them in a cycle
+        try:
+            ids = self._encoded(chunks)
+        finally:
+            gc.enable()
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(lens.sum())
         while self.known + len(ids) + 1 > len(self.starts):
@@ -68,7 +100,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (uint32) and where each text begins (one more at the end)."""
         if len(self.number) > self.keep:
-            self.reset()
+            self._forget()
         parts = [cut(t) for t in texts]
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))
         at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, int(sizes.sum()))
