@@ -23,13 +23,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
-import zlib
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +69,17 @@ def unpack(data: bytes) -> pa.RecordBatch:
         return next(iter(stream))
 
 
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane: the high bytes are mostly alike."""
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
+
+
 class Block:
     """Documents in order, their chunks as numbers, and the pre-tokens of each chunk."""
 
@@ -144,7 +156,7 @@ def _position_rows(block_chars: int, pat: str):
             words, flat, lens = block.words()
             sizes = np.fromiter(map(len, block.positions), np.int64, len(block.positions))
             at = np.concatenate(block.positions)
-            data = [pack(at=pa.array(at)), pack(flat=pa.array(flat)), pack(lens=pa.array(lens)), pack(sizes=pa.array(sizes), doc=pa.array(block.docs, pa.int64()))]
+            data = [pack_numbers(at), pack(flat=pa.array(flat)), pack(lens=pa.array(lens)), pack(sizes=pa.array(sizes), doc=pa.array(block.docs, pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_name(block, words)]), pa.array([len(words)], pa.int64()), pa.array([data], pa.list_(pa.binary()))],
                 names=["block", "n_words", "data"])
@@ -183,8 +195,8 @@ def _encode_words(path: str, pat: str):
     return run
 
 
-def _reassemble(left: pa.Table, right: pa.Table) -> Iterator[pa.Table]:
-    kind = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+def _reassemble(left: pa.Table, right: pa.Table) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """doc_id and ids of a block's documents, some at a time."""
     if not left.num_rows:
         raise RuntimeError("the input changed between the two reads")
     n_words = left.column("n_words")[0].as_py()
@@ -204,26 +216,45 @@ def _reassemble(left: pa.Table, right: pa.Table) -> Iterator[pa.Table]:
         flat.append(own.values.to_numpy())
     word_ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
     for row in left.column("data").to_pylist():
-        chunk_at, of_chunk, chunk_lens, docs = (unpack(x) for x in row)
+        at = unpack_numbers(row[0])
+        of_chunk, chunk_lens, docs = (unpack(x) for x in row[1:])
         of_chunk, chunk_lens = of_chunk.column("flat").to_numpy(), chunk_lens.column("lens").to_numpy()
         chunk_starts = offsets(chunk_lens)
-        at = chunk_at.column("at").to_numpy()
         sizes = docs.column("sizes").to_numpy()
         edges = offsets(sizes)
         done, doc = 0, docs.column("doc")
-        while done < len(sizes):  # about 1M chunks at a time
-            to = max(done + 1, int(np.searchsorted(edges, edges[done] + 1_000_000, "right")) - 1)
+        while done < len(sizes):  # about 250,000 chunks at a time
+            to = max(done + 1, int(np.searchsorted(edges, edges[done] + 250_000, "right")) - 1)
             here = at[edges[done]:edges[to]]
             words = of_chunk[ragged_index(chunk_starts[here], chunk_lens[here])]
             ids = word_ids[ragged_index(starts[words], lens[words])]
             word_edge = offsets(chunk_lens[here])[edges[done:to + 1] - edges[done]]
             id_edge = offsets(lens[words])[word_edge]
-            yield pa.table([doc.slice(done, to - done), pa.ListArray.from_arrays(id_edge.astype(np.int32), ids)], schema=kind)
+            yield doc.slice(done, to - done), pa.ListArray.from_arrays(id_edge.astype(np.int32), ids)
             done = to
 
 
-def encode(docs: DataFrame, ranks: str | None = None, pat: str | None = None, block_chars: int = 16 << 20) -> DataFrame:
-    """doc_id and ids (array) of every row."""
+def token_bytes(path: str) -> pa.Array:
+    """The token-byte table: the bytes of each rank."""
+    ranks = read_ranks(path)
+    by_id: list = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        by_id[i] = token
+    return pa.array(by_id, pa.large_binary())
+
+
+def joined_bytes(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """The bytes of each list of ids: one lookup in the table for all of them, cut where the lists end."""
+    edge = np.asarray(ids.offsets)
+    taken = tokens.take(ids.values.slice(int(edge[0]), int(edge[-1] - edge[0])))
+    at = np.asarray(pa.Array.from_buffers(pa.int64(), len(taken) + 1, [None, taken.buffers()[1]]))[edge - edge[0]]
+    out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(at)), taken.buffers()[2]])
+    return out.cast(pa.binary())
+
+
+def encode(docs: DataFrame, ranks: str | None = None, pat: str | None = None, block_chars: int = 10 << 20, decoded: bool = False) -> DataFrame:
+    """doc_id and ids (array) of every row; with ``decoded`` also the bytes that the ids
+    stand for, decoded where the ids are reassembled."""
     ranks, pat = ranks or rank_file(), pat or pattern()
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4
@@ -232,32 +263,26 @@ def encode(docs: DataFrame, ranks: str | None = None, pat: str | None = None, bl
     placed = rows.mapInArrow(_position_rows(block_chars, pat), "block string, n_words bigint, data array<binary>")
 
     def whole(left, right):
-        return pa.concat_tables(list(_reassemble(left, right)))
+        tokens = token_bytes(ranks) if decoded else None
+        names = ["doc_id", "ids"] + ["decoded"] * decoded
+        return pa.concat_tables(pa.table([doc, ids] + ([joined_bytes(ids, tokens)] if decoded else []), names=names)
+                                for doc, ids in _reassemble(left, right))
+
+    schema = "doc_id bigint, ids array<int>" + ", decoded binary" * decoded
+    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(whole, schema)
 
-    return placed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(whole, "doc_id bigint, ids array<int>")
 
+def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
+    """doc_id, ids and the bytes that the ids stand for."""
+    ranks = ranks or rank_file()
 
-def _decoded(path: str):
     def run(batches):
-        table = read_ranks(path)
-        by_id: list = [b""] * (max(table.values()) + 1)
-        for token, i in table.items():
-            by_id[i] = token
-        tokens = pa.array(by_id, pa.large_binary())
+        tokens = token_bytes(ranks)
         for b in batches:
             ids = b.column("ids")
-            edge = np.asarray(ids.offsets)
-            flat = ids.values.slice(int(edge[0]), int(edge[-1] - edge[0]))
-            taken = tokens.take(flat.fill_null(0))
-            at = np.asarray(pa.Array.from_buffers(pa.int64(), len(taken) + 1, [None, taken.buffers()[1]]))[edge - edge[0]]
-            out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(b), [None, pa.py_buffer(np.ascontiguousarray(at)), taken.buffers()[2]])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, out.cast(pa.binary())], names=["doc_id", "ids", "decoded"])
-    return run
-
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, joined_bytes(ids, tokens)], names=["doc_id", "ids", "decoded"])
 
-def decode(encoded: DataFrame, ranks: str | None = None) -> DataFrame:
-    """doc_id, ids and the bytes that the ids stand for."""
-    return encoded.select("doc_id", "ids").mapInArrow(_decoded(ranks or rank_file()), "doc_id bigint, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op4_bpe.digests(op4_bpe.decode(op4_bpe.encode(table(spark, sf_dir, "documents"))))
+    return op4_bpe.digests(op4_bpe.encode(table(spark, sf_dir, "documents"), decoded=True))
 
 
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
