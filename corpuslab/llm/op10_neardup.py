@@ -7,8 +7,8 @@ values each need only 2 m r minhash values.
 Documents with the same shingle set form a class at once (grouping by the digest of the
 whole sorted set, with partial aggregation), so exact copies never meet in a table. Class
 representatives that share a key are candidates. Within a key, members are compared in
-rounds: the first few members (in an order of their own for each key) with all later ones,
-then four times as many, until all pairs of members that are not already in one component
+rounds: the first member (in one random order for all keys) with all later ones, then the
+next two, four and so on, until all pairs of members that are not already in one component
 have been met. Groups of near copies join after the first rounds and drop out, so their
 pairs are never expanded; no member, partner or bucket is capped. A pair whose signatures
 agree in less than ``floor`` of their values is not confirmed on the full sets (for a
@@ -170,35 +170,31 @@ def _alike(floor: float):
     return run
 
 
-def propagate(links: DataFrame, labels: DataFrame | None, steps: int | None) -> DataFrame:
-    """id, comp: the smallest id known to be reachable. ``steps`` None: until nothing changes.
+def propagate(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """id, comp: the smallest id that can be reached; ``labels``: what is known from fewer links.
     Each step takes the least label of the neighbours, then the label of that label."""
     both = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     nodes = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "id")
     if labels is not None:
         old = labels.withColumnRenamed("comp", "old")
         nodes = nodes.join(old, "id", "left").select("id", F.least("comp", "old").alias("comp"))
-    now = saved(nodes, "labels")
-    step = 0
-    while steps is None or step < steps:
+    now, changed = saved(nodes, "labels"), True
+    while changed:
         of_b = now.select(F.col("id").alias("b"), F.col("comp").alias("comp_b"))
         near = both.join(of_b, "b").groupBy(F.col("a").alias("id")).agg(F.min("comp_b").alias("near"))
         best = now.join(near, "id").select("id", F.col("comp").alias("was"), F.least("comp", "near").alias("comp"))
         target = now.select(F.col("id").alias("comp"), F.col("comp").alias("further"))
         after = saved(best.join(target, "comp", "left").select("id", "was", F.least("comp", "further").alias("comp")), "labels")
-        step += 1
-        changed = steps is None and after.filter("comp <> was").limit(1).count() > 0
+        changed = after.filter("comp <> was").limit(1).count() > 0
         now = after.select("id", "comp")
-        if steps is None and not changed:
-            break
     return now
 
 
-def links_of(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float, pivots: int) -> DataFrame | None:
-    """Confirmed links (a, b) between class representatives; None if no two share a key."""
+def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float) -> DataFrame | None:
+    """id, comp of the class representatives with confirmed links; None if no two share a key."""
     tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
     members = saved(tables.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_shared, "key bigint, id bigint"), "members")
-    order = Window.partitionBy("key").orderBy(F.xxhash64("id", "key"), "id")
+    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")  # one order for all keys: the same pivots in most
     members = saved(members.withColumn("rank", F.row_number().over(order) - 1), "ranked")
     top = members.agg(F.max("rank")).first()[0]
     if top is None:
@@ -208,7 +204,7 @@ def links_of(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, pe
                  .select(F.col("doc_id").alias("id"), "n_shingles", "signature", "shingles").distinct(), "sets")
     full = {x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab"}
     links = tested = labels = None
-    low, high = 0, pivots
+    low, high = 0, 1
     while low <= top:
         here = members
         if labels is not None:
@@ -234,20 +230,18 @@ def links_of(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, pe
         found = pairs.join(full["a"], "a").join(full["b"], "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint")
         found = saved(found.distinct(), "found")
         links = found if links is None else links.unionByName(found)
-        low, high = high, high * 4
-        if low <= top:
-            labels = propagate(links, labels, 2)
-    return links
+        low, high = high, high + 2 * (high - low)
+        labels = propagate(links, labels)
+    return labels
 
 
-def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.6, pivots: int = 4) -> DataFrame:
+def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     base = saved(sketches(docs, width, 2 * m * r).drop("shingles"), "sketches")
     classes = saved(base.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    links = links_of(docs, classes, width, m, r, percent, floor, pivots)
+    labels = linked(docs, classes, width, m, r, percent, floor)
     same = classes.select("digest", "rep")
-    if links is not None:
-        labels = propagate(links, None, None)
+    if labels is not None:
         same = same.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component"))
     else:
         same = same.withColumnRenamed("rep", "component")

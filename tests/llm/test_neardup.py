@@ -72,7 +72,7 @@ def test_five_word_shingles_of_the_pipeline(spark):
 def test_long_chains_become_one_component(spark):
     rows, links = [(k, k + 1) for k in range(200)] + [(500, 501)], None
     links = spark.createDataFrame(rows, "a bigint, b bigint")
-    got = {r.id: r.comp for r in n.propagate(links, None, None).collect()}
+    got = {r.id: r.comp for r in n.propagate(links).collect()}
     assert got == {**{k: 0 for k in range(201)}, 500: 500, 501: 500}
 
 
