@@ -7,8 +7,9 @@ values each need only 2 m r minhash values.
 Documents with the same shingle set form a class at once (grouping by the digest of the
 whole sorted set, with partial aggregation), so exact copies never meet in a table. Class
 representatives that share a key are candidates. Within a key, members are compared in
-rounds: the first member (in one random order for all keys) with all later ones, then the
-next two, four and so on, until all pairs of members that are not already in one component
+rounds: one member with all others, then two, four and so on of those left (the ones with
+the most links so far first, so that the text which copies were made from soon meets them
+all), until all pairs of members that are not already in one component
 have been met. Groups of near copies join after the first rounds and drop out, so their
 pairs are never expanded; no member, partner or bucket is capped. A pair whose signatures
 agree in less than ``floor`` of their values is not confirmed on the full sets (for a
@@ -194,29 +195,29 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, perc
     """id, comp of the class representatives with confirmed links; None if no two share a key."""
     tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
     members = saved(tables.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_shared, "key bigint, id bigint"), "members")
-    order = Window.partitionBy("key").orderBy(F.xxhash64("id"), "id")  # one order for all keys: the same pivots in most
-    members = saved(members.withColumn("rank", F.row_number().over(order) - 1), "ranked")
-    top = members.agg(F.max("rank")).first()[0]
-    if top is None:
+    if members.isEmpty():
         return None
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = saved(sketches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, 2 * m * r, True)
                  .select(F.col("doc_id").alias("id"), "n_shingles", "signature", "shingles").distinct(), "sets")
     full = {x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab"}
     links = tested = labels = None
-    low, high = 0, 1
-    while low <= top:
-        here = members
-        if labels is not None:
-            here = members.join(labels, "id", "left").select("key", "id", "rank", F.coalesce("comp", "id").alias("comp"))
-            mixed = here.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-            here = saved(here.join(mixed, "key", "left_semi"), "mixed")
-            top = here.agg(F.max("rank")).first()[0]
-            if top is None or low > top:
-                break
+    n_pivots = 1
+    while True:
+        if labels is None:
+            here = members.select("key", "id", F.col("id").alias("comp"), F.lit(0).alias("degree"))
         else:
-            here = here.withColumn("comp", F.col("id"))
-        first = here.filter((F.col("rank") >= low) & (F.col("rank") < high)).select("key", F.col("id").alias("p"), F.col("rank").alias("p_rank"), F.col("comp").alias("p_comp"))
+            degrees = (links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("degree")))
+            known = labels.join(degrees, "id")
+            here = members.join(known, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            mixed = here.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
+            here = here.join(mixed, "key", "left_semi")
+        # members with the most links come first (the text that others were made from), then one random order for all keys
+        order = Window.partitionBy("key").orderBy(F.desc("degree"), F.xxhash64("id"), "id")
+        here = saved(here.withColumn("rank", F.row_number().over(order)), "ranked")
+        if here.isEmpty():
+            return labels
+        first = here.filter(F.col("rank") <= n_pivots).select("key", F.col("id").alias("p"), F.col("rank").alias("p_rank"), F.col("comp").alias("p_comp"))
         pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p")))
                  .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
         for x in "ab":
@@ -230,9 +231,9 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, perc
         found = pairs.join(full["a"], "a").join(full["b"], "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint")
         found = saved(found.distinct(), "found")
         links = found if links is None else links.unionByName(found)
-        low, high = high, high + 2 * (high - low)
+        members = here.filter(F.col("rank") > n_pivots).select("key", "id")  # the pivots have met all others
+        n_pivots *= 2
         labels = propagate(links, labels)
-    return labels
 
 
 def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.6) -> DataFrame:
