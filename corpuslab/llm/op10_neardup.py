@@ -7,10 +7,11 @@ values each need only 2 m r minhash values.
 Documents with the same shingle set form a class at once (grouping by the digest of the
 whole sorted set, with partial aggregation), so exact copies never meet in a table. Class
 representatives that share a key are candidates. Within a key, members are compared in
-rounds: one member with all others, then two, four and so on of those left (the ones with
-the most links so far first, so that the text which copies were made from soon meets them
-all), until all pairs of members that are not already in one component
-have been met. Groups of near copies join after the first rounds and drop out, so their
+rounds: one member with all others, then four, sixteen and so on of those left (the ones with
+the most links so far first, then those that share keys with the most others, so that the
+text which copies were made from soon meets them all), until all pairs of members that
+are not already in one component have been met. After the first round a pair is left out
+where shingles that no other member left has rule out the similarity. Groups of near copies join after the first rounds and drop out, so their
 pairs are never expanded; no member, partner or bucket is capped. A pair whose signatures
 agree in less than ``floor`` of their values is not confirmed on the full sets (for a
 similarity of 0.8 that is four standard deviations off).
@@ -160,6 +161,26 @@ def _confirmed(percent: int):
     return run
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, shingle; a batch for each set."""
+    for b in batches:
+        for i, data in zip(b.column("id").to_pylist(), b.column("shingles")):
+            own = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, np.int64)), pa.array(own)], names=["id", "shingle"])
+
+
+def support(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, support: how many shingles of each member another member has too. No intersection
+    with another member can be larger, which settles most pairs that aren't alike enough
+    before they are made."""
+    of = sets.join(members.select("id").distinct(), "id", "left_semi")
+    holders = of.select("id", "shingles").mapInArrow(_exploded, "id bigint, shingle bigint").groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    lonely = holders.filter("id = other").groupBy("id").agg(F.count("*").alias("lonely"))
+    own = of.groupBy("id").agg(F.max("n_shingles").alias("n"), F.count("*").alias("texts")).join(lonely, "id", "left")
+    lost = F.when(F.col("texts") == 1, F.col("lonely"))  # an id that repeats with other texts is settled later
+    return own.select("id", (F.col("n") - F.coalesce(lost, F.lit(0))).alias("support"))
+
+
 def _alike(floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,39 +212,51 @@ def propagate(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return now
 
 
+def mixed(members: DataFrame) -> DataFrame:
+    """Those of keys with members of more than one component."""
+    keys = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
 def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float) -> DataFrame | None:
     """id, comp of the class representatives with confirmed links; None if no two share a key."""
     tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
     members = saved(tables.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_shared, "key bigint, id bigint"), "members")
     if members.isEmpty():
         return None
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    hubs = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = saved(sketches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, 2 * m * r, True)
                  .select(F.col("doc_id").alias("id"), "n_shingles", "signature", "shingles").distinct(), "sets")
+    about = hubs.join(sets.select("id", F.col("n_shingles").alias("n")), "id")
+    members = saved(members.join(about, "id").select("key", "id", "hub", "n"), "members")
     full = {x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab"}
     links = tested = labels = None
     n_pivots = 1
     while True:
         if labels is None:
-            here = members.select("key", "id", F.col("id").alias("comp"), F.lit(0).alias("degree"))
+            here = members.select("key", "id", "hub", "n", F.col("n").alias("support"), F.col("id").alias("comp"), F.lit(0).alias("degree"))
         else:
             degrees = (links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("degree")))
             known = labels.join(degrees, "id")
-            here = members.join(known, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
-            mixed = here.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-            here = here.join(mixed, "key", "left_semi")
-        # members with the most links come first (the text that others were made from), then one random order for all keys
-        order = Window.partitionBy("key").orderBy(F.desc("degree"), F.xxhash64("id"), "id")
+            here = members.join(known, "id", "left").select("key", "id", "hub", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
+            here = saved(mixed(here), "left")
+            here = here.join(support(here, sets), "id")
+        # members with the most links come first, then those that share keys with the most others (both tell the text
+        # that others were made from), then one random order for all keys
+        order = Window.partitionBy("key").orderBy(F.desc("degree"), F.desc("hub"), F.xxhash64("id"), "id")
         here = saved(here.withColumn("rank", F.row_number().over(order)), "ranked")
         if here.isEmpty():
             return labels
-        first = here.filter(F.col("rank") <= n_pivots).select("key", F.col("id").alias("p"), F.col("rank").alias("p_rank"), F.col("comp").alias("p_comp"))
-        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p")))
-                 .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
+        first = here.filter(F.col("rank") <= n_pivots).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "n", "support")))
+        inter = F.least("support", "p_support")  # no intersection is larger
+        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p_id"))
+                                                & (100 * inter >= percent * (F.col("n") + F.col("p_n") - inter)))
+                 .select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
         for x in "ab":
-            pairs = pairs.join(sets.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"sig_{x}")), x)
-        pairs = (pairs.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-                 .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint").distinct())
+            pairs = pairs.join(sets.select(F.col("id").alias(x), F.col("signature").alias(f"sig_{x}")), x)
+        pairs = pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
@@ -231,8 +264,8 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, perc
         found = pairs.join(full["a"], "a").join(full["b"], "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint")
         found = saved(found.distinct(), "found")
         links = found if links is None else links.unionByName(found)
-        members = here.filter(F.col("rank") > n_pivots).select("key", "id")  # the pivots have met all others
-        n_pivots *= 2
+        members = here.filter(F.col("rank") > n_pivots).select("key", "id", "hub", "n")  # the pivots have met all others
+        n_pivots *= 4
         labels = propagate(links, labels)
 
 
