@@ -389,7 +389,7 @@ def q_tfidf_terms(spark, sf_dir):
 lines AS (SELECT item_id, line_no, {S.strip('line')} AS text FROM (
   SELECT item_id, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS line_no
   FROM benchmark) WHERE {S.strip('line')} <> ''),
-tst AS (SELECT item_id * 100000 + line_no AS id, text FROM lines),
+tst AS (SELECT CAST(item_id AS BIGINT) * 2147483648 + line_no AS id, text FROM lines),
 {_tfidf_sql('tst', 'trn')},
 tst_raw AS (SELECT id, term, tf * idf AS raw FROM tst_tf JOIN vocab USING (term)),
 tst_wt AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM tst_raw),
@@ -413,7 +413,7 @@ def q_score_sentences(spark, sf_dir):
     bal, model, wtr = _tfidf_train(spark, sf_dir)
     lines = (table(spark, sf_dir, "benchmark")
              .select("item_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-             .select((F.col("item_id") * 100000 + F.col("line_no")).cast("long").alias("id"),
+             .select((F.col("item_id").cast("long") * (1 << 31) + F.col("line_no")).alias("id"),
                      T.py_strip("line").alias("text"))
              .filter(F.col("text") != ""))
     wts = FT.tfidf_transform(lines, model)

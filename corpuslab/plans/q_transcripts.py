@@ -73,7 +73,7 @@ CONV_NAME = ("concat(CAST(conv_id % 6 + 20 AS VARCHAR), '_', CASE WHEN conv_id %
 PARAS = f"""rawp AS (SELECT conv_id AS file_id, {CONV_NAME} AS protocol_name, turn,
                 unnest(list_concat(['<< ' || role || ' >>:'], string_split(text, chr(10)))) AS text,
                 unnest(range(0, 1 + len(string_split(text, chr(10))))) AS line FROM conversations),
-paras AS (SELECT file_id, protocol_name, CAST(turn * 10000 + line AS BIGINT) AS para_idx, {S.strip('text')} AS text
+paras AS (SELECT file_id, protocol_name, CAST(turn AS BIGINT) * 4294967296 + line AS para_idx, {S.strip('text')} AS text
           FROM rawp WHERE {S.strip('text')} <> '')"""
 
 
@@ -286,7 +286,7 @@ def _docx_folder(spark, sf_dir):
 
 @query("docx_paragraphs", f"""WITH {PARAS},
 ranked AS (SELECT protocol_name, text, row_number() OVER (PARTITION BY protocol_name ORDER BY para_idx) - 1 AS i
-           FROM (SELECT protocol_name, turn * 10000 + line AS para_idx, text FROM rawp))
+           FROM (SELECT protocol_name, CAST(turn AS BIGINT) * 4294967296 + line AS para_idx, text FROM rawp))
 SELECT protocol_name, CAST(i AS BIGINT) AS para_idx, {S.strip('text')} AS text FROM ranked WHERE {S.strip('text')} <> ''""")
 def q_docx_paragraphs(spark, sf_dir):
     """Folder scan of .docx transcripts (binaryFile + mapInPandas with

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from .tables import spread, table
 
-PARA_BASE = 10_000  # para_idx = turn * PARA_BASE + line
+PARA_BASE = 1 << 32  # para_idx = turn * PARA_BASE + line; turn and line are below 2^31, so no two paragraphs of a file meet
 
 
 def conversation_file_name(conv_id: str = "conv_id"):
@@ -31,7 +31,7 @@ def raw_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (conv.select(F.col("conv_id").alias("file_id"), conversation_file_name().alias("protocol_name"),
                         "turn", F.posexplode(lines).alias("line", "text"))
             .select("file_id", "protocol_name",
-                    (F.col("turn") * PARA_BASE + F.col("line")).cast("long").alias("para_idx"), "text"))
+                    (F.col("turn").cast("long") * PARA_BASE + F.col("line")).cast("long").alias("para_idx"), "text"))
 
 
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
