@@ -7,12 +7,16 @@ values each need only 2 m r minhash values.
 Documents with the same shingle set form a class at once (grouping by the digest of the
 whole sorted set, with partial aggregation), so exact copies never meet in a table. Class
 representatives that share a key are candidates. Within a key, members are compared in
-rounds: one member with all others, then four, sixteen and so on of those left (the ones with
-the most links so far first, then those that share keys with the most others, so that the
-text which copies were made from soon meets them all), until all pairs of members that
-are not already in one component have been met. After the first round a pair is left out
-where shingles that no other member left has rule out the similarity. Groups of near copies join after the first rounds and drop out, so their
-pairs are never expanded; no member, partner or bucket is capped. A pair whose signatures
+rounds: one member with all others, then 64, 4096 and so on of those left (those that share
+keys with the most others first, so that the text which copies were made from soon meets
+them all), until all pairs of members that are not already in one component have been met.
+Groups of near copies join after the first round and drop out, so their pairs are never
+expanded; no member, partner or bucket is capped.
+
+Pairs that are not alike enough are left out inside the join by an odd sketch: bit i of it
+is the parity of the number of shingles in bin i of 1024. Each shingle that only one of two
+sets has flips one bit, so the bits in which two sketches differ are never more than the
+size of the symmetric difference, and no linked pair is lost. A pair whose signatures
 agree in less than ``floor`` of their values is not confirmed on the full sets (for a
 similarity of 0.8 that is four standard deviations off).
 
@@ -38,7 +42,9 @@ from pyspark.sql import functions as F
 
 from .common import saved, slices
 
-SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary, shingles binary"
+ODD = [f"odd_{i}" for i in range(16)]
+SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary"
+WITH_SETS = f"{SKETCH}, shingles binary, " + ", ".join(f"{c} bigint" for c in ODD)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,6 +88,12 @@ def signature(shingles: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndar
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in 1024 bins, as 16 integers."""
+    counts = np.bincount((shingles & np.uint64(1023)).astype(np.int64), minlength=1024)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _sketched(width: int, n_hashes: int, with_sets: bool):
     mul, add = seeds(n_hashes)
 
@@ -97,17 +109,18 @@ def _sketched(width: int, n_hashes: int, with_sets: bool):
                     words = t.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
                     s = shingle_set(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), width)
                     data = s.tobytes()
-                    rows.append((len(s), hashlib.blake2b(data, digest_size=16).digest(), signature(s, mul, add).tobytes(), data if with_sets else None))
-                n, digest, sig, sets = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(texts)), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(sets, pa.binary())],
-                    names=["doc_id", "n_shingles", "digest", "signature", "shingles"])
+                    rows.append((len(s), hashlib.blake2b(data, digest_size=16).digest(), signature(s, mul, add).tobytes(), *((data, odd_sketch(s)) if with_sets else ())))
+                n, digest, sig, *more = zip(*rows)
+                out = {"doc_id": ids.slice(first, len(texts)), "n_shingles": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.binary()), "signature": pa.array(sig, pa.binary())}
+                if with_sets:
+                    out |= {"shingles": pa.array(more[0], pa.binary())} | dict(zip(ODD, map(pa.array, np.stack(more[1], axis=1))))
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     return run
 
 
 def sketches(docs: DataFrame, width: int, n_hashes: int, with_sets: bool = False) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(_sketched(width, n_hashes, with_sets), SKETCH)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(_sketched(width, n_hashes, with_sets), WITH_SETS if with_sets else SKETCH)
 
 
 def _keys(m: int, r: int):
@@ -161,26 +174,6 @@ def _confirmed(percent: int):
     return run
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, shingle; a batch for each set."""
-    for b in batches:
-        for i, data in zip(b.column("id").to_pylist(), b.column("shingles")):
-            own = np.frombuffer(data.as_buffer(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, np.int64)), pa.array(own)], names=["id", "shingle"])
-
-
-def support(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """id, support: how many shingles of each member another member has too. No intersection
-    with another member can be larger, which settles most pairs that aren't alike enough
-    before they are made."""
-    of = sets.join(members.select("id").distinct(), "id", "left_semi")
-    holders = of.select("id", "shingles").mapInArrow(_exploded, "id bigint, shingle bigint").groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("other"))
-    lonely = holders.filter("id = other").groupBy("id").agg(F.count("*").alias("lonely"))
-    own = of.groupBy("id").agg(F.max("n_shingles").alias("n"), F.count("*").alias("texts")).join(lonely, "id", "left")
-    lost = F.when(F.col("texts") == 1, F.col("lonely"))  # an id that repeats with other texts is settled later
-    return own.select("id", (F.col("n") - F.coalesce(lost, F.lit(0))).alias("support"))
-
-
 def _alike(floor: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -195,7 +188,7 @@ def _alike(floor: float):
 def propagate(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """id, comp: the smallest id that can be reached; ``labels``: what is known from fewer links.
     Each step takes the least label of the neighbours, then the label of that label."""
-    both = saved(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nodes = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "id")
     if labels is not None:
         old = labels.withColumnRenamed("comp", "old")
@@ -218,55 +211,61 @@ def mixed(members: DataFrame) -> DataFrame:
     return members.join(keys, "key", "left_semi")
 
 
+def _possible(x: str, y: str, percent: int):
+    """Whether sizes and odd sketches (columns with these prefixes) allow the similarity. With d
+    the size of the symmetric difference, 100 * intersection >= percent * union is the same as
+    (100 + percent) * d <= (100 - percent) * (sum of the sizes)."""
+    n_x, n_y = F.col(f"{x}n"), F.col(f"{y}n")
+    differ = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in ODD[1:]), F.bit_count(F.col(f"{x}{ODD[0]}").bitwiseXOR(F.col(f"{y}{ODD[0]}"))))
+    most = (100 - percent) * (n_x + n_y)
+    return ((100 + percent) * F.abs(n_x - n_y) <= most) & ((100 + percent) * differ <= most)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, floor: float) -> DataFrame:
+    """Those of the pairs a, b that are links, by odd sketches, signatures and then the full sets."""
+    for x in "ab":
+        of = sets.select(F.col("id").alias(x), F.col("signature").alias(f"sig_{x}"), *(F.col(c).alias(f"{x}_{c}") for c in ("n", *ODD)))
+        pairs = pairs.join(of, x)
+    pairs = pairs.filter(_possible("a_", "b_", percent)).select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint")
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")), x)
+    return saved(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint").distinct(), "found")
+
+
 def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float) -> DataFrame | None:
-    """id, comp of the class representatives with confirmed links; None if no two share a key."""
+    """id, comp of the class representatives with confirmed links; None if there are no links."""
     tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
     members = saved(tables.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_shared, "key bigint, id bigint"), "members")
     if members.isEmpty():
         return None
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    hubs = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = saved(sketches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, 2 * m * r, True)
-                 .select(F.col("doc_id").alias("id"), "n_shingles", "signature", "shingles").distinct(), "sets")
-    about = hubs.join(sets.select("id", F.col("n_shingles").alias("n")), "id")
-    members = saved(members.join(about, "id").select("key", "id", "hub", "n"), "members")
-    full = {x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab"}
-    links = tested = labels = None
-    n_pivots = 1
+                 .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature", "shingles", *ODD).distinct(), "sets")
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
+    hubs = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
+    # one order for all keys: ids that share keys with the most others come first (they tell the text that others were made from)
+    order = Window.partitionBy("key").orderBy(F.desc("hub"), F.xxhash64("id"), "id")
+    ranked = saved(members.join(hubs, "id").select("key", "id", F.row_number().over(order).alias("rank"), F.first("id").over(order).alias("pivot")), "ranked")
+    with_pivot = ranked.filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    found = links = confirmed(with_pivot, sets, percent, floor)
+    labels, met, left = None, 1, ranked.select("key", "id", "rank")
     while True:
-        if labels is None:
-            here = members.select("key", "id", "hub", "n", F.col("n").alias("support"), F.col("id").alias("comp"), F.lit(0).alias("degree"))
-        else:
-            degrees = (links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("degree")))
-            known = labels.join(degrees, "id")
-            here = members.join(known, "id", "left").select("key", "id", "hub", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
-            here = saved(mixed(here), "left")
-            here = here.join(support(here, sets), "id")
-        # members with the most links come first, then those that share keys with the most others (both tell the text
-        # that others were made from), then one random order for all keys
-        order = Window.partitionBy("key").orderBy(F.desc("degree"), F.desc("hub"), F.xxhash64("id"), "id")
-        here = saved(here.withColumn("rank", F.row_number().over(order)), "ranked")
+        if not found.isEmpty():
+            labels = propagate(links, labels)
+        left = left.filter(F.col("rank") > met)  # those up to ``met`` have met all others
+        here = left.withColumn("comp", F.col("id"))
+        if labels is not None:
+            here = left.join(labels, "id", "left").select("key", "id", "rank", F.coalesce("comp", "id").alias("comp"))
+        here = saved(mixed(here).join(sets.select("id", "n", *ODD), "id"), "left")
         if here.isEmpty():
             return labels
-        first = here.filter(F.col("rank") <= n_pivots).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "n", "support")))
-        inter = F.least("support", "p_support")  # no intersection is larger
-        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p_id"))
-                                                & (100 * inter >= percent * (F.col("n") + F.col("p_n") - inter)))
+        met *= 64
+        first = here.filter(F.col("rank") <= met).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "n", *ODD)))
+        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p_id")) & _possible("", "p_", percent))
                  .select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
-        for x in "ab":
-            pairs = pairs.join(sets.select(F.col("id").alias(x), F.col("signature").alias(f"sig_{x}")), x)
-        pairs = pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = pairs.join(full["a"], "a").join(full["b"], "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint")
-        found = saved(found.distinct(), "found")
-        links = found if links is None else links.unionByName(found)
-        members = here.filter(F.col("rank") > n_pivots).select("key", "id", "hub", "n")  # the pivots have met all others
-        n_pivots *= 4
-        labels = propagate(links, labels)
+        found = confirmed(pairs, sets, percent, floor)
+        links = links.unionByName(found)
+        left = here.select("key", "id", "rank").distinct()
 
 
 def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.6) -> DataFrame:
