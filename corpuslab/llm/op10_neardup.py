@@ -207,8 +207,9 @@ def propagate(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 def mixed(members: DataFrame) -> DataFrame:
     """Those of keys with members of more than one component."""
-    keys = members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    return members.join(keys, "key", "left_semi")
+    key = Window.partitionBy("key")
+    both = members.withColumn("low", F.min("comp").over(key)).withColumn("high", F.max("comp").over(key))
+    return both.filter("low <> high").drop("low", "high")
 
 
 def _possible(x: str, y: str, percent: int):
