@@ -140,25 +140,6 @@ def _keys(m: int, r: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose key another row has. Holds one batch and one row."""
-    held = None  # the last row: (key, id, another row with its key was seen)
-    for b in batches:
-        if not len(b):
-            continue
-        key, ids = b.column("key").to_numpy(), b.column("id").to_numpy()
-        if held is not None:
-            key, ids = np.append(held[0], key), np.append(held[1], ids)
-        same = key[1:] == key[:-1]
-        shared = np.concatenate([[held is not None and held[2]], same])
-        shared[:-1] |= same
-        held = key[-1], ids[-1], bool(shared[-1])
-        out = np.flatnonzero(shared[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(ids[out])], names=["key", "id"])
-    if held is not None and held[2]:
-        yield pa.RecordBatch.from_arrays([pa.array([held[0]], pa.int64()), pa.array([held[1]], pa.int64())], names=["key", "id"])
-
-
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -205,11 +186,35 @@ def propagate(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     return now
 
 
+def shared(tables: DataFrame) -> DataFrame:
+    """key, id, n: the rows whose key others have too, and how many have it. Keys are counted
+    with partial aggregation and joined back (a hot key's rows are many on one side only, so
+    adaptive execution can split them)."""
+    sizes = saved(tables.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    return tables.join(sizes, "key").select("key", "id", "n")
+
+
 def mixed(members: DataFrame) -> DataFrame:
-    """Those of keys with members of more than one component."""
-    key = Window.partitionBy("key")
-    both = members.withColumn("low", F.min("comp").over(key)).withColumn("high", F.max("comp").over(key))
-    return both.filter("low <> high").drop("low", "high")
+    """Those of keys with members of more than one component. The keys are written first: a
+    join can split a hot key only if both its sides come straight from a shuffle."""
+    keys = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key")
+    return members.join(saved(keys, "mixed"), "key", "left_semi")
+
+
+def ranks(members: DataFrame) -> DataFrame:
+    """key, id, rank: 1, 2, .. within each key, ids that share keys with the most others first.
+    Rows are dealt by ranges of (key, order), so a hot key lies in many pieces; each piece is
+    numbered by itself. Only a key that goes on from an earlier piece has an offset, so there
+    are fewer offsets than pieces."""
+    order = [F.desc("hub"), F.asc("mix"), F.asc("id")]
+    spark = members.sparkSession
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = saved(members.select("key", "id", "hub", F.xxhash64("id").alias("mix")).repartitionByRange(pieces, F.asc("key"), *order)
+                  .withColumn("piece", F.spark_partition_id()), "dealt")
+    before = Window.partitionBy("key").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # a row a piece
+    offsets = dealt.groupBy("key", "piece").agg(F.count("*").alias("n")).select("key", "piece", F.sum("n").over(before).alias("offset")).filter("offset > 0")
+    local = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("key", "piece").orderBy(*order)))
+    return local.join(F.broadcast(offsets), ["key", "piece"], "left").select("key", "id", (F.col("rank") + F.coalesce("offset", F.lit(0))).alias("rank"))
 
 
 def _possible(x: str, y: str, percent: int):
@@ -236,27 +241,26 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, floor: float) ->
 def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float) -> DataFrame | None:
     """id, comp of the class representatives with confirmed links; None if there are no links."""
     tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
-    members = saved(tables.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_shared, "key bigint, id bigint"), "members")
+    members = saved(shared(tables), "members")
     if members.isEmpty():
         return None
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = saved(sketches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, 2 * m * r, True)
                  .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature", "shingles", *ODD).distinct(), "sets")
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"))
-    hubs = members.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
-    # one order for all keys: ids that share keys with the most others come first (they tell the text that others were made from)
-    order = Window.partitionBy("key").orderBy(F.desc("hub"), F.xxhash64("id"), "id")
-    ranked = saved(members.join(hubs, "id").select("key", "id", F.row_number().over(order).alias("rank"), F.first("id").over(order).alias("pivot")), "ranked")
-    with_pivot = ranked.filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    hubs = members.groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
+    # one order for all keys, so the text that others were made from is the pivot of all its keys
+    ranked = saved(ranks(members.join(hubs, "id")), "ranked")
+    pivots = saved(ranked.filter("rank = 1").select("key", F.col("id").alias("pivot")), "pivots")
+    with_pivot = ranked.filter("rank > 1").join(pivots, "key").filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     found = links = confirmed(with_pivot, sets, percent, floor)
-    labels, met, left = None, 1, ranked.select("key", "id", "rank")
+    labels, met, left = None, 1, ranked
     while True:
         if not found.isEmpty():
             labels = propagate(links, labels)
         left = left.filter(F.col("rank") > met)  # those up to ``met`` have met all others
         here = left.withColumn("comp", F.col("id"))
         if labels is not None:
-            here = left.join(labels, "id", "left").select("key", "id", "rank", F.coalesce("comp", "id").alias("comp"))
+            here = saved(left.join(labels, "id", "left").select("key", "id", "rank", F.coalesce("comp", "id").alias("comp")), "labelled")
         here = saved(mixed(here).join(sets.select("id", "n", *ODD), "id"), "left")
         if here.isEmpty():
             return labels

@@ -88,3 +88,31 @@ def test_pairing_small_collections_gives_all_tables():
     batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([sig.tobytes()], pa.binary())], names=["rep", "signature"])
     out = list(n._keys(4, 3)(iter([batch])))
     assert len(set(out[0].column("key").to_pylist())) == 16
+
+
+def test_ranks_of_a_hot_key_over_many_pieces(spark):
+    rows = [(7, i, 5 if i == 4321 else 1 + i % 3) for i in range(6000)] + [(k, i, 1) for k in range(20, 400) for i in range(2)]
+    members = spark.createDataFrame(rows, "key bigint, id bigint, hub bigint").repartition(5)
+    got = n.ranks(members).collect()
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r.key, []).append((r["rank"], r.id))
+    assert all(sorted(x)[-1][0] == len(x) == len({k for k, _ in x}) for x in by_key.values()) and len(got) == len(rows)
+    hub = {i: h for k, i, h in rows if k == 7}
+    order = [hub[i] for _, i in sorted(by_key[7])]
+    assert order == sorted(order, reverse=True) and sorted(by_key[7])[0] == (1, 4321)
+
+
+def test_no_whole_key_is_put_into_one_task(spark):
+    """A window by the key alone can't be split: windows are by key and piece, or over a row a piece."""
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    rows = [(k % 3, k, k % 2, k, 1) for k in range(60)]
+    members = spark.createDataFrame(rows, "key bigint, id bigint, comp bigint, hub bigint, n bigint")
+    assert "Window [" not in plan(n.mixed(members)) and "Window [" not in plan(n.shared(members.select("key", "id")))
+    numbered = [x for x in plan(n.ranks(members)).split("\n") if "row_number" in x and "Window [" in x]
+    assert numbered and all("piece#" in x.split("], [")[1] for x in numbered)
+    assert {r.id for r in n.mixed(members).collect()} == set(range(60))
+    assert n.mixed(members.withColumn("comp", members.key)).isEmpty()
+    assert sorted(map(tuple, n.shared(members.select("key", "id").union(spark.createDataFrame([(99, 1)], "key bigint, id bigint"))).collect())) == sorted((k, i, 20) for k, i, *_ in rows)
