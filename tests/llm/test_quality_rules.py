@@ -62,3 +62,29 @@ def test_passing_keeps_columns_and_empty_table(spark):
     assert q.passing(docs).columns == docs.columns
     assert q.passing(docs).count() == q.report(docs).filter("kept").count() > 20
     assert q.report(docs.limit(0)).count() == 0
+
+
+def test_chunks_of_all_lengths_are_judged_to_the_end():
+    """Noise and repetition in one text even out over the whole of it, not over its chunks."""
+    rng = random.Random(6)
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    judge = lambda t: q.judge(t, defaultdict(count().__next__), squeeze, max_repeat_pct=100)
+    code = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+    def noise(n):
+        return "".join(rng.choice(code) if i % 60 else " " for i in range(n))
+
+    for n in (1000, 2000, 4000, 4096, 6000, 8000):
+        half = "the same line of words again \n" * (n // 60)
+        for text in (half + noise(n - len(half)), noise(n - len(half)) + half):
+            r = judge(text)
+            band = q.band_of(len(text))
+            assert band.low <= r[5] <= band.high and r[6] > 0.5 and not r[-1], n
+    for n in (200, 300, 500, 1500, 3000, 5000, 8000):  # the share counts bytes, wherever they stand
+        prose = fx.prose(rng, n)[:n]
+        assert judge(prose)[6] == 0
+        few, many = n // 4, n * 3 // 4
+        for bad, kept in ((few, True), (many, False)) if n > 1000 else ():
+            for text in (noise(bad) + prose[bad:], prose[bad:] + noise(bad)):
+                r = judge(text)
+                assert (r[6] <= 0.5) == kept and (kept or not r[-1]), (n, bad)
