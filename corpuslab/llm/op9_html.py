@@ -6,7 +6,9 @@ for its best container's generalised path: tags with classes, digits and attribu
 dropped. Votes are counted per host in Spark. Pass 2 extracts again, from the outermost
 elements on the page that have a winning path; a page on which no winning path occurs uses
 its own best container. Menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out wherever they stand.
+scripts, styles and reader comments are left out wherever they stand. But an element that is
+left out for its class, id or role only is kept if all text in article or main elements, or
+all text of the page, would go with it. A head ends where something begins that can't be in it.
 
 The winning paths (a few per host) are copied to ``salts`` pieces and pages of a host are
 dealt over them, so a hot host is spread.
@@ -48,15 +50,28 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
+#: What may stand in a head; any other start tag ends it, as its end tag can be left out.
+IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noscript", "script", "style", "template", "title"}
+#: Words with which a class or id says something about an element (has-sidebar,
+#: comments-open) and does not name it.
+STATE = {"active", "allowed", "closed", "collapsed", "disabled", "enabled", "has", "hide", "is", "no", "not", "off", "on", "open", "show",
+         "sticky", "visible", "with", "without"}
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "out", "container", "link", "no")
+    __slots__ = ("tag", "path", "out", "container", "link", "no", "beside", "main")
 
-    def __init__(self, tag, path, out, container, link, no):
+    def __init__(self, tag, path, out, container, link, no, beside=frozenset(), main=False):
         self.tag, self.path, self.out, self.container, self.link, self.no = tag, path, out, container, link, no
+        self.beside, self.main = beside, main  # numbers of the open elements named as beside the article; whether in one of its own
+
+
+def _beside(token: str) -> bool:
+    """Whether a class or an id names a part beside the article."""
+    words = WORD.findall(token)
+    return not BESIDE.isdisjoint(words) and STATE.isdisjoint(words)
 
 
 def _named(attrs: str) -> tuple[str, bool]:
@@ -64,11 +79,10 @@ def _named(attrs: str) -> tuple[str, bool]:
     classes, beside = "", False
     for m in ATTR.finditer(attrs):
         value = (m[2] or m[3] or m[4] or "").lower()
-        words = WORD.findall(value)
         if m[1].lower() == "role":
             beside |= value.strip() in ROLES
             continue
-        beside |= not BESIDE.isdisjoint(words)
+        beside |= any(map(_beside, value.split()))
         if m[1].lower() == "class":
             classes = "".join(f".{w}" for w in sorted(set(re.sub(r"\d+", "", value).split())))
     return classes, beside
@@ -78,6 +92,8 @@ def blocks(page: str) -> tuple[list[tuple[str, int, tuple[Element, ...]]], list[
     """Blocks of wanted text in page order, each with its link characters and the open
     containers around it, and all containers."""
     found: list = []
+    inside: list = []
+    n_beside = 0
     containers: list[Element] = []
     root = Element("", "", False, True, False, 0)
     stack = [root]
@@ -91,12 +107,15 @@ def blocks(page: str) -> tuple[list[tuple[str, int, tuple[Element, ...]]], list[
             whole = SPACE.sub(" ", entities.unescape("".join(text))).strip()
             if whole:
                 found.append((whole, link_chars, tuple(e for e in stack if e.container)))
+                inside.append((stack[-1].beside, stack[-1].main))
             text, link_chars = [], 0
 
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.search(page, at)
         stop = m.start() if m else end
+        if stop > at and stack[-1].tag == "head" and page[at:stop].strip():
+            stack.pop()
         if stop > at and not stack[-1].out:
             piece = page[at:stop]
             text.append(piece)
@@ -114,11 +133,18 @@ def blocks(page: str) -> tuple[list[tuple[str, int, tuple[Element, ...]]], list[
                 flush()
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
+                    if stack[-1].beside != stack[i - 1].beside:
+                        flush()
                     del stack[i:]
                     break
                 if stack[i].tag in BLOCK and tag not in BLOCK:
                     break
             continue
+        if tag not in IN_HEAD:
+            for i in range(1, min(len(stack), 4)):
+                if stack[i].tag == "head":
+                    del stack[i:]
+                    break
         if tag in BLOCK:
             flush()
             closes, until = CLOSES.get(tag, ({"p"} if tag in BLOCK else set(), set()))
@@ -140,16 +166,25 @@ def blocks(page: str) -> tuple[list[tuple[str, int, tuple[Element, ...]]], list[
             continue
         up = stack[-1]
         classes, beside = _named(m[3]) if m[3] else ("", False)
-        out = up.out or tag in DROPPED or beside and tag not in ("html", "body", "article", "main")
+        out = up.out or tag in DROPPED
+        around = up.beside
+        if beside and not out and tag not in ("html", "body", "article", "main"):
+            flush()
+            n_beside += 1
+            around |= {n_beside}
         container = tag in CONTAINER and not out
-        e = Element(tag, f"{up.path}/{tag}{classes}" if tag in BLOCK else up.path, out, container, up.link or tag == "a", len(containers))
+        e = Element(tag, f"{up.path}/{tag}{classes}" if tag in BLOCK else up.path, out, container, up.link or tag == "a", len(containers),
+                    around, up.main or tag in ("article", "main") and not beside)
         if out and not up.out and tag not in BLOCK:
             text.append(" ")
         if container:
             containers.append(e)
         stack.append(e)
     flush()
-    return found, containers
+    of_main = [b for b, main in inside if main] or [b for b, _ in inside]
+    least = min(map(len, of_main), default=0)
+    kept = frozenset().union(*(b for b in of_main if len(b) == least))
+    return [f for f, (b, _) in zip(found, inside) if b <= kept], [e for e in containers if e.beside <= kept]
 
 
 def best_path(found: list, containers: list[Element]) -> tuple[str, float]:

@@ -45,3 +45,21 @@ def test_white_space_and_references():
     assert h.extract(*h.blocks("a < b and c > d"), None) == "a < b and c > d"
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class='with-sidebar'", "id='comments-open'", "class='social-enabled'",
+                                     "class='sidebar-layout'", "class='header-fixed page'", "role='banner'"])
+def test_article_in_a_wrapper_named_like_a_part_beside_it(wrapper):
+    comments = "<section class='comments'><p>A reader wrote.</p><article class='comment'><p>And one more, longer than all of it.</p></article></section>"
+    assert h.extract(*h.blocks(page(f"<div {wrapper}>{ARTICLE}{comments}<div class='sidebar'>side</div></div>")), None) == TEXT
+    assert h.extract(*h.blocks(page(f"<div {wrapper}><div>{ARTICLE[9:-10]}</div>{comments}</div>")), None) == TEXT
+
+
+@pytest.mark.parametrize("top", ["<html><head><title>t</title><body>", "<head><meta charset=x><link rel=y><script>a</script>", "<html><head><style>p{}</style><div>",
+                                 "<head><title>t</title></head><body>", "<html><head><noscript><p>no</p></noscript><BODY class='x'>"])
+def test_head_without_an_end_tag(top):
+    assert h.extract(*h.blocks(top + ARTICLE), None) == TEXT
+    assert h.extract(*h.blocks("<head><title>t</title>\n plain text"), None) == "plain text"
+
+
+def test_inline_parts_beside_the_article_are_left_out():
+    body = "<article><p>Before<span class='share-buttons'>Share <b>this</b></span>after <i class='has-comments'>and</i> on.</p></article>"
+    assert h.extract(*h.blocks(page(body)), None) == "Before after and on."
