@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op1_quality, op2_url, op3_exact, op4_bpe, op5_shards, op6_wordpiece, op7_pack, op8_quality, op9_html,
-               op10_neardup, op11_codes, op12_centroids)
+               op10_neardup, op11_codes, op12_centroids, op13_secrets)
 from .common import fresh_path, table
 
 
@@ -62,9 +62,14 @@ def op12_threshold_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_centroids.with_inertia(*op12_centroids.cluster(table(spark, sf_dir, "embeddings")))
 
 
+def op13_inferred_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_secrets.secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_compression_bands, op2_url_rules, op3_exact_dedup, op4_byte_bpe, op5_token_shards, op6_word_pieces,
-                            op7_best_fit_packing, op8_pairwise_quality, op9_consensus_text, op10_tensored_minhash, op11_vector_codes, op12_threshold_centroids)}
+                            op7_best_fit_packing, op8_pairwise_quality, op9_consensus_text, op10_tensored_minhash, op11_vector_codes, op12_threshold_centroids,
+                            op13_inferred_secrets)}
 
 ORACLES: dict[str, str] = {"op2_url_rules": op2_url.SQL, "op3_exact_dedup": op3_exact.SQL,
                            "op11_vector_codes": op11_codes.sql(), "op12_threshold_centroids": op12_centroids.sql()}
