@@ -3,12 +3,13 @@
 One pass over the whole texts finds the base matches (assign, access, hex) and, beside them,
 all candidates: runs of at least ``MIN_CANDIDATE`` credential characters with a digit. The
 values of the base matches are labelled credentials. From a bounded sample of each kind a
-prefix tree is built and its states are merged where their counts of next characters and
-ends are statistically compatible (Hoeffding bounds, down the whole subtrees), which gives a
+prefix tree is built and its states are merged, each with the likeliest one, where their counts
+of next characters and ends are statistically compatible (Hoeffding bounds, down the whole subtrees), which gives a
 probabilistic automaton. Character pairs are counted over all candidates of all documents.
 A candidate's score for a kind is the mean gain in bits per character of the kind's
-automaton over those pairs. A candidate that reaches the lowest score of all but ``miss`` of
-the kind's labelled values, and ``MIN_GAIN`` at least, is a span of kind ``<kind>_like``.
+automaton over those pairs. A candidate that reaches ``share`` of the score that all but
+``miss`` of the kind's labelled values reach (unlike them, it is among the pairs itself), and
+``MIN_GAIN`` at least, is a span of kind ``<kind>_like``.
 
 Only the scan reads texts; it writes matches and candidates. The fit runs on the driver
 on at most ``max_labelled`` distinct values a kind, of ``MAX_LENGTH`` characters at most (the
@@ -136,6 +137,17 @@ class Automaton:
             return False
         return all(self._compatible(self.next[a][c], q, width) for c, q in self.next[b].items() if c in self.next[a])
 
+    def _step(self, q: int, n: int) -> float:
+        """log2 of the smoothed probability of what was counted ``n`` times in a state."""
+        return math.log2((n + SMOOTH) / (self.count[q] + SMOOTH * (len(SYMBOLS) + 1)))
+
+    def _likelihood(self, a: int, b: int) -> float:
+        """log2 of the probability that the words of the subtree at ``b`` come from state ``a``."""
+        total = self.ends[b] * self._step(a, self.ends[a])
+        for c, n in self.edges[b].items():
+            total += n * self._step(a, self.edges[a].get(c, 0)) + self._likelihood(self.next[a].get(c, 0), self.next[b][c])
+        return total
+
     def _fold(self, a: int, b: int):
         """Adds the subtree at ``b`` to state ``a``."""
         self.count[a] += self.count[b]
@@ -149,14 +161,14 @@ class Automaton:
                 self.next[a][c] = q
 
     def merge(self, alpha: float = 0.05) -> Automaton:
-        """Merges each state at the border of the automaton with the first compatible state of it,
-        or takes it in, until no border is left; then drops what can't be reached."""
+        """Merges each state at the border of the automaton with the compatible state of it from
+        which its words are likeliest (few words are compatible with any), or takes it in, until no border is left; then drops what can't be reached."""
         width = math.sqrt(math.log(2 / alpha) / 2)
         kept, held = [0], {0}
         while border := next(((p, c) for p in kept for c in sorted(self.next[p]) if self.next[p][c] not in held), None):
             p, c = border
             q = self.next[p][c]
-            into = next((a for a in kept if self._compatible(a, q, width)), None)
+            into = min((a for a in kept if self._compatible(a, q, width)), key=lambda a: -self._likelihood(a, q), default=None)
             if into is None:
                 kept.append(q)
                 held.add(q)
@@ -174,9 +186,9 @@ class Automaton:
         smoothing and goes back to the first state."""
         q, total = 0, 0.0
         for c in word:
-            total += math.log2((self.edges[q].get(c, 0) + SMOOTH) / (self.count[q] + SMOOTH * (len(SYMBOLS) + 1)))
+            total += self._step(q, self.edges[q].get(c, 0))
             q = self.next[q].get(c, 0)
-        return total + math.log2((self.ends[q] + SMOOTH) / (self.count[q] + SMOOTH * (len(SYMBOLS) + 1)))
+        return total + self._step(q, self.ends[q])
 
 
 class Pairs:
@@ -213,9 +225,9 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """An automaton and a threshold for each kind, and the pairs of all candidates."""
 
-    def __init__(self, automata: dict[str, Automaton], pairs: Pairs, labelled: dict[str, list[str]], miss: float):
+    def __init__(self, automata: dict[str, Automaton], pairs: Pairs, labelled: dict[str, list[str]], miss: float, share: float):
         self.automata, self.pairs = automata, pairs
-        self.least = {k: max(MIN_GAIN, float(np.quantile([self.gain(k, w) for w in labelled[k]], miss))) for k in automata}
+        self.least = {k: max(MIN_GAIN, share * float(np.quantile([self.gain(k, w) for w in labelled[k]], miss))) for k in automata}
 
     def gain(self, kind: str, word: str) -> float:
         return (self.automata[kind].bits(word) - self.pairs.bits(word)) / (len(word) + 1)
@@ -226,7 +238,7 @@ class Model:
         return max((s for s in scores if s[0] >= self.least[s[2]]), default=(0, 0, None))[2]
 
 
-def fit(scanned: DataFrame, max_labelled: int = 2000, alpha: float = 0.05, miss: float = 0.01) -> Model:
+def fit(scanned: DataFrame, max_labelled: int = 2000, alpha: float = 0.05, miss: float = 0.01, share: float = 0.5) -> Model:
     """The model of a scan's matches and candidates."""
     found = scanned.select(F.explode("found").alias("f")).select("f.kind", "f.value")
     values = found.filter((F.col("kind") != "") & (F.length("value") <= MAX_LENGTH)).distinct()
@@ -244,7 +256,7 @@ def fit(scanned: DataFrame, max_labelled: int = 2000, alpha: float = 0.05, miss:
         counts[r["pair"]] = r["n"]
     counts[-1] = 0  # a line end after a line end is no pair
     automata = {k: Automaton(sorted(labelled[k])).merge(alpha) for k in KINDS if len(labelled.get(k, ())) >= MIN_LABELLED}
-    return Model(automata, Pairs(counts.reshape(edge, edge)), labelled, miss)
+    return Model(automata, Pairs(counts.reshape(edge, edge)), labelled, miss, share)
 
 
 def line(spans: list[tuple[str, int, int]]) -> str:
