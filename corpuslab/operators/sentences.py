@@ -16,7 +16,13 @@ from ..functions.presets import LATIN, Preset
 from ..session import scratch_path
 from ..sources.tables import spread, table
 
-SENT_BASE = 1_000_000  # sent_id = file_id * SENT_BASE + turn_id * 10_000 + piece
+
+def sent_id(file_id="file_id", turn_id="turn_id", piece_pos="piece_pos") -> "F.Column":
+    """``file:turn:piece``: unique however many turns a file and pieces a
+    turn has (a number packed from the three would collide)."""
+    return F.concat_ws(":", *[(F.col(c) if isinstance(c, str) else c).cast("string")
+                              for c in (file_id, turn_id, piece_pos)])
+
 
 
 def file_name(doc_id, lang) -> "F.Column":
@@ -64,8 +70,7 @@ def sentences_from_turns(turns: DataFrame, preset: Preset) -> DataFrame:
     return (s.withColumn("tokens", tokens)
             .withColumn("sentence_text", F.array_join("tokens", " "))
             .withColumn("n_tokens", F.size("tokens").cast("long"))
-            .withColumn("sent_id", (F.col("file_id") * SENT_BASE + F.col("turn_id") * 10_000
-                                    + F.col("piece_pos")).cast("long"))
+            .withColumn("sent_id", sent_id())
             .withColumn("piece_pos", F.col("piece_pos").cast("long"))
             .drop("phrase", "clean"))
 
@@ -121,9 +126,3 @@ def sentence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         build_sentence_table(spark, sf_dir).write.mode("overwrite").parquet(path)
         _MEMO[key] = path
     return spark.read.parquet(_MEMO[key])
-
-
-def tokens_of(df: DataFrame) -> "F.Column":
-    """Whitespace tokens of ``sentence_text`` (the LM's ``split()``)."""
-    return T.ws_tokens("sentence_text")
-

@@ -396,7 +396,7 @@ tst_wt AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS
 dots AS (SELECT a.id AS test_id, b.id AS train_id, sum(a.weight * b.weight) AS dot
          FROM tst_wt a JOIN trn_wt b USING (term) GROUP BY a.id, b.id),
 pairs AS (SELECT t.id AS test_id, r.id AS train_id, r.label AS train_label,
-                 round(sqrt(greatest(0.0, 2.0 - 2.0 * coalesce(d.dot, 0.0))), 9) AS dist
+                 round(sqrt(greatest(0.0, round(2.0 - 2.0 * coalesce(d.dot, 0.0), 12))), 9) AS dist
           FROM tst t, trn r LEFT JOIN dots d ON d.test_id = t.id AND d.train_id = r.id),
 nn AS (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY dist, train_id) AS rank FROM pairs QUALIFY rank <= 7),
 vw AS (SELECT test_id, train_label,
@@ -418,8 +418,7 @@ def q_score_sentences(spark, sf_dir):
              .filter(F.col("text") != ""))
     wts = FT.tfidf_transform(lines, model)
     vocab = model.select("term")
-    size = vocab.count()  # <= max_terms
     train = FT.sparse_vectors(wtr, vocab).join(bal.select("id", "label"), "id")
     test = lines.select("id").join(FT.sparse_vectors(wts, vocab), "id", "left")  # no term -> zero vector
-    pred = KNN.vote(KNN.knn_sparse_unit(test, train, size, 7))
+    pred = KNN.vote(KNN.knn_sparse_unit(test, train, k=7))
     return pred.select(F.col("test_id").alias("line_id"), FT.decode(F.col("predicted")).alias("label"))

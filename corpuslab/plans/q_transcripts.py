@@ -204,12 +204,12 @@ _DOC_TURNS = S.documents_turns_cte(P)
 @query("sentences", f"""WITH {_DOC_TURNS},
 pieces AS (SELECT file_id, unnest(arr) AS piece, unnest(range(0, len(arr))) AS piece_pos
            FROM (SELECT file_id, {S.sentence_pieces('text')} AS arr FROM turns))
-SELECT CAST(file_id * 1000000 + piece_pos AS BIGINT) AS sent_id, {S.strip(S.restore_marks('piece'))} AS phrase
+SELECT {S.sent_id('0')} AS sent_id, {S.strip(S.restore_marks('piece'))} AS phrase
 FROM pieces WHERE {S.strip(S.restore_marks('piece'))} <> ''""")
 def q_sentences(spark, sf_dir):
     """``break_text_into_phrases`` of every document's text."""
     ph = SN.phrases(SN.document_turns(spark, sf_dir, P))
-    return ph.select((F.col("file_id") * SN.SENT_BASE + F.col("piece_pos")).cast("long").alias("sent_id"), "phrase")
+    return ph.select(SN.sent_id().alias("sent_id"), "phrase")
 
 
 @query("clean_sentences", f"""WITH {_DOC_TURNS},
@@ -217,12 +217,12 @@ pieces AS (SELECT file_id, unnest(arr) AS piece, unnest(range(0, len(arr))) AS p
            FROM (SELECT file_id, {S.sentence_pieces('text')} AS arr FROM turns)),
 ph AS (SELECT file_id, piece_pos, {S.strip(S.restore_marks('piece'))} AS phrase FROM pieces),
 cl AS (SELECT file_id, piece_pos, {S.clean_sentence('phrase', P)} AS clean FROM ph WHERE phrase <> '')
-SELECT CAST(file_id * 1000000 + piece_pos AS BIGINT) AS sent_id, clean FROM cl
+SELECT {S.sent_id('0')} AS sent_id, clean FROM cl
 WHERE clean IS NOT NULL AND len(string_split(clean, ' ')) >= 4""")
 def q_clean_sentences(spark, sf_dir):
     """``clean_sentence`` and the 4-part minimum."""
     c = SN.clean_phrases(SN.phrases(SN.document_turns(spark, sf_dir, P)), P)
-    return c.select((F.col("file_id") * SN.SENT_BASE + F.col("piece_pos")).cast("long").alias("sent_id"), "clean")
+    return c.select(SN.sent_id().alias("sent_id"), "clean")
 
 
 @query("tokenize", f"""WITH {S.sentences_ctes()} SELECT sent_id, sentence_text, n_tokens FROM sentences""")

@@ -24,5 +24,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import (q_classify, q_generate, q_io, q_lm, q_models, q_ngrams, q_prompts, q_text,  # noqa: F401
+    from . import (q_classify, q_cv, q_generate, q_io, q_lm, q_models, q_ngrams, q_prompts, q_text,  # noqa: F401
                    q_transcripts, q_vectors)

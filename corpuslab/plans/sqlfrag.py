@@ -122,6 +122,10 @@ def documents_turns_cte(preset: Preset = LATIN) -> str:
   FROM documents)"""
 
 
+def sent_id(turn: str) -> str:
+    return f"concat(CAST(file_id AS VARCHAR), ':', CAST({turn} AS VARCHAR), ':', CAST(piece_pos AS VARCHAR))"
+
+
 def sentences_ctes(turns_cte: str | None = None, preset: Preset = LATIN) -> str:
     """CTEs ending in ``sentences`` (same columns as the Spark table plus
     ``tokens``)."""
@@ -138,7 +142,7 @@ tok AS (
   SELECT * EXCLUDE (clean), {tokenize('clean')} AS tokens FROM cln
   WHERE clean IS NOT NULL AND len(string_split(clean, ' ')) >= 4),
 sentences AS (
-  SELECT CAST(file_id * 1000000 + turn_id * 10000 + piece_pos AS BIGINT) AS sent_id,
+  SELECT {sent_id('turn_id')} AS sent_id,
          file_id, turn_id, CAST(piece_pos AS BIGINT) AS piece_pos, corpus, protocol_name,
          knesset_number, protocol_type, protocol_number, speaker_name,
          array_to_string(tokens, ' ') AS sentence_text, CAST(len(tokens) AS BIGINT) AS n_tokens,

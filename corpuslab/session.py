@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +79,11 @@ def materialize(df, *key: str):
         df.write.mode("overwrite").parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(_MATERIALIZED[k])
+
+
+def saved(df, name: str):
+    """``df`` written as Parquet to a new folder of the shared scratch space
+    and read back: a lineage cut for tables that are read more than once."""
+    path = scratch_path(df.sparkSession, uuid.uuid4().hex, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
