@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded, slices
 from .tokens import bpe_50k, encoder
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, "
@@ -150,7 +150,7 @@ def _packed(window: int, end_id: int, path: str, group: int, cut_gap: int):
 def pack(docs: DataFrame, window: int = 2048, end_id: int = 1, path: str | None = None,
          group: int = 16_000, cut_gap: int = 64) -> DataFrame:
     """A row per piece with its ids (little-endian unsigned 32-bit)."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
+    return bounded(docs).select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(
         _packed(window, end_id, path or bpe_50k(), group, cut_gap), SCHEMA)
 
 
