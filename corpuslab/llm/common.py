@@ -58,3 +58,24 @@ def offsets(lens: np.ndarray) -> np.ndarray:
     out = np.zeros(len(lens) + 1, np.int64)
     np.cumsum(lens, out=out[1:])
     return out
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Bytes of an Arrow batch that Spark hands to Python, in place of Spark's own default.
+BATCH, SPARK_BATCH = "4m", "67108864b"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The same table; the session's Arrow batches are bounded more tightly by bytes, as rows may
+    hold very long texts. A bound that the user has set stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key) == SPARK_BATCH:
+        conf.set(key, BATCH)
+    return df

@@ -7,7 +7,7 @@ values each need only 2 m r minhash values.
 Documents with the same shingle set form a class at once (grouping by the digest of the
 whole sorted set, with partial aggregation), so exact copies never meet in a table. Class
 representatives that share a key are candidates. Within a key, members are compared in
-rounds: one member with all others, then 64, 4096 and so on of those left (those that share
+rounds: one member with all others, then ``pivots``, its square and so on of those left (those that share
 keys with the most others first, so that the text which copies were made from soon meets
 them all), until all pairs of members that are not already in one component have been met.
 Groups of near copies join after the first round and drop out, so their pairs are never
@@ -16,17 +16,22 @@ expanded; no member, partner or bucket is capped.
 Pairs that are not alike enough are left out inside the join by an odd sketch: bit i of it
 is the parity of the number of shingles in bin i of 1024. Each shingle that only one of two
 sets has flips one bit, so the bits in which two sketches differ are never more than the
-size of the symmetric difference, and no linked pair is lost. A pair whose signatures
-agree in less than ``floor`` of their values is not confirmed on the full sets (for a
-similarity of 0.8 that is four standard deviations off).
+size of the symmetric difference, and no linked pair is lost. All pairs left are confirmed on
+the full sets. ``floor``, off by default, leaves out pairs before whose signatures agree in a
+smaller share of their values (0.6 is four standard deviations below 0.8): for corpora of
+texts much longer than the sketch.
 
 With the defaults (m = 10, r = 3) a pair at a similarity of 0.8 is missed by all tables
 with a chance of 2 (1 - 0.8^3)^10 = 0.0015, at 0.85 of 0.0001.
 
-Defined results: null and empty texts and texts without words have an empty set and are
-linked with nothing; rows without an id are linked with nothing, have no component and
-are kept; rows that repeat an id with other texts keep the component of each text. Extra
-columns are not read by ``components``. Empty in, empty out.
+Classes, sets, links and labels are keyed by a number given to each distinct shingle set, and
+components are named by their smallest doc_id at the end. Defined results: null and empty
+texts and texts without words have an empty set and are linked with nothing; rows without an
+id are linked with nothing, have no component and are kept; rows that repeat an id with other
+texts have the component of their own text each; rows that repeat the smallest id of a
+component, with texts of that component, are all kept. Texts of any length are read whole, in
+Arrow batches bounded by bytes; a set takes 8 bytes a word. Extra columns are not read by
+``components``; ``representatives`` carries them. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -40,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, slices
+from .common import bounded, saved, slices, unused
 
 ODD = [f"odd_{i}" for i in range(16)]
 SKETCH = "doc_id bigint, n_shingles bigint, digest binary, signature binary"
@@ -75,6 +80,10 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(_mix(h))
 
 
+def set_digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     x = _mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * _P)
     return x[:n] | np.uint64(1), x[n:]
@@ -108,8 +117,7 @@ def _sketched(width: int, n_hashes: int, with_sets: bool):
                 for t in texts:
                     words = t.encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
                     s = shingle_set(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), width)
-                    data = s.tobytes()
-                    rows.append((len(s), hashlib.blake2b(data, digest_size=16).digest(), signature(s, mul, add).tobytes(), *((data, odd_sketch(s)) if with_sets else ())))
+                    rows.append((len(s), set_digest(s), signature(s, mul, add).tobytes(), *((s.tobytes(), odd_sketch(s)) if with_sets else ())))
                 n, digest, sig, *more = zip(*rows)
                 out = {"doc_id": ids.slice(first, len(texts)), "n_shingles": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.binary()), "signature": pa.array(sig, pa.binary())}
                 if with_sets:
@@ -120,7 +128,7 @@ def _sketched(width: int, n_hashes: int, with_sets: bool):
 
 
 def sketches(docs: DataFrame, width: int, n_hashes: int, with_sets: bool = False) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(_sketched(width, n_hashes, with_sets), WITH_SETS if with_sets else SKETCH)
+    return bounded(docs).select(F.col("doc_id").cast("bigint"), F.col("text")).mapInArrow(_sketched(width, n_hashes, with_sets), WITH_SETS if with_sets else SKETCH)
 
 
 def _keys(m: int, r: int):
@@ -129,7 +137,7 @@ def _keys(m: int, r: int):
         for whole in batches:
             for at in range(0, len(whole), 2000):
                 b = whole.slice(at, 2000)
-                ids = b.column("rep").to_numpy()
+                ids = b.column("id").to_numpy()
                 sig = np.frombuffer(b"".join(b.column("signature").to_pylist()), np.uint32).reshape(len(ids), 2, m, r).astype(np.uint64)
                 h = np.zeros(sig.shape[:3], np.uint64)
                 for i in range(r):
@@ -222,9 +230,8 @@ def _possible(x: str, y: str, percent: int):
     the size of the symmetric difference, 100 * intersection >= percent * union is the same as
     (100 + percent) * d <= (100 - percent) * (sum of the sizes)."""
     n_x, n_y = F.col(f"{x}n"), F.col(f"{y}n")
-    differ = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in ODD[1:]), F.bit_count(F.col(f"{x}{ODD[0]}").bitwiseXOR(F.col(f"{y}{ODD[0]}"))))
     most = (100 - percent) * (n_x + n_y)
-    return ((100 + percent) * F.abs(n_x - n_y) <= most) & ((100 + percent) * differ <= most)
+    return ((100 + percent) * F.abs(n_x - n_y) <= most) & ((100 + percent) * differ(x, y) <= most)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, floor: float) -> DataFrame:
@@ -232,26 +239,41 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, floor: float) ->
     for x in "ab":
         of = sets.select(F.col("id").alias(x), F.col("signature").alias(f"sig_{x}"), *(F.col(c).alias(f"{x}_{c}") for c in ("n", *ODD)))
         pairs = pairs.join(of, x)
-    pairs = pairs.filter(_possible("a_", "b_", percent)).select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint")
+    pairs = pairs.filter(_possible("a_", "b_", percent))
+    if floor > 0:
+        pairs = pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(floor), "a bigint, b bigint")
+    pairs = pairs.select("a", "b")
     for x in "ab":
         pairs = pairs.join(sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")), x)
     return saved(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_confirmed(percent), "a bigint, b bigint").distinct(), "found")
 
 
-def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float) -> DataFrame | None:
-    """id, comp of the class representatives with confirmed links; None if there are no links."""
-    tables = classes.filter("rep IS NOT NULL").select("rep", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
+def differ(x: str, y: str):
+    """In how many bits the odd sketches (columns with these prefixes) differ."""
+    return sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in ODD[1:]), F.bit_count(F.col(f"{x}{ODD[0]}").bitwiseXOR(F.col(f"{y}{ODD[0]}"))))
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int, n_hashes: int) -> DataFrame:
+    """id, n, signature, shingles and odd sketch of the classes ``ids``, from the text of the row
+    with the class's smallest id; other texts with that id have another digest and fall out."""
+    wanted = saved(classes.join(ids, "id", "left_semi").select("id", "rep", "digest"), "wanted")
+    texts = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    rows = sketches(texts, width, n_hashes, True).drop("doc_id").withColumnRenamed("n_shingles", "n")
+    return saved(rows.join(wanted.select("id", "digest"), "digest").dropDuplicates(["digest"]).drop("digest"), "sets")
+
+
+def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, percent: int, floor: float, pivots: int) -> DataFrame | None:
+    """id, comp of the classes with confirmed links; None if there are no links."""
+    tables = classes.filter("rep IS NOT NULL").select("id", "signature").mapInArrow(_keys(m, r), "key bigint, id bigint")
     members = saved(shared(tables), "members")
     if members.isEmpty():
         return None
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = saved(sketches(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), width, 2 * m * r, True)
-                 .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature", "shingles", *ODD).distinct(), "sets")
-    hubs = members.groupBy("id").agg(F.sum("n").alias("hub"))  # how often an id meets others
+    hubs = saved(members.groupBy("id").agg(F.sum("n").alias("hub")), "hubs")  # how often an id meets others
+    sets = sets_of(docs, classes, hubs.select("id"), width, 2 * m * r)
     # one order for all keys, so the text that others were made from is the pivot of all its keys
-    ranked = saved(ranks(members.join(hubs, "id")), "ranked")
-    pivots = saved(ranked.filter("rank = 1").select("key", F.col("id").alias("pivot")), "pivots")
-    with_pivot = ranked.filter("rank > 1").join(pivots, "key").filter("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+    ranked = saved(ranks(members.select("key", "id").join(hubs, "id")), "ranked")
+    firsts = saved(ranked.filter("rank = 1").select("key", F.col("id").alias("pivot")), "pivots")
+    with_pivot = ranked.filter("rank > 1").join(firsts, "key").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     found = links = confirmed(with_pivot, sets, percent, floor)
     labels, met, left = None, 1, ranked
     while True:
@@ -264,31 +286,63 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, perc
         here = saved(mixed(here).join(sets.select("id", "n", *ODD), "id"), "left")
         if here.isEmpty():
             return labels
-        met *= 64
+        met *= pivots
         first = here.filter(F.col("rank") <= met).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "n", *ODD)))
-        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & (F.col("id") != F.col("p_id")) & _possible("", "p_", percent))
+        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & _possible("", "p_", percent))
                  .select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
         found = confirmed(pairs, sets, percent, floor)
         links = links.unionByName(found)
-        left = here.select("key", "id", "rank").distinct()
-
-
-def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.6) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    base = saved(sketches(docs, width, 2 * m * r).drop("shingles"), "sketches")
-    classes = saved(base.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "classes")
-    labels = linked(docs, classes, width, m, r, percent, floor)
-    same = classes.select("digest", "rep")
+        left = here.select("key", "id", "rank")
+
+
+def components(docs: DataFrame, width: int = 4, percent: int = 80, m: int = 10, r: int = 3, floor: float = 0.0,
+               pivots: int = 512, digests: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row; with ``digests`` also the digest of
+    the row's shingle set."""
+    base = saved(sketches(docs, width, 2 * m * r), "sketches")
+    # classes are numbered when they are written; two of them may have one smallest doc_id
+    classes = saved(base.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature"))
+                    .withColumn("id", F.monotonically_increasing_id()), "classes")
+    labels = linked(docs, classes, width, m, r, percent, floor, pivots)
+    same = classes.select("digest", F.col("rep").alias("component"))
     if labels is not None:
-        same = same.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component"))
-    else:
-        same = same.withColumnRenamed("rep", "component")
+        named = classes.select("digest", "id", "rep").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        named = saved(named, "named")
+        same = named.join(named.groupBy("comp").agg(F.min("rep").alias("component")), "comp").select("digest", "component")
     rows = base.select("doc_id", "n_shingles", "digest").join(same, "digest", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    rows = rows.withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component")))
+    kept = F.when(alone, True).otherwise(F.col("doc_id") == F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *(["digest"] if digests else []))
 
 
-def representatives(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, with all its columns."""
-    gone = components(docs, **options).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+def _digests(width: int):
+    def of_batch(texts: pa.Array) -> pa.Array:
+        known = _WordHashes()
+        out = []
+        for t in texts:
+            words = (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
+            out.append(set_digest(shingle_set(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), width)))
+        return pa.array(out, pa.binary())
+
+    of_batch.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(of_batch, "binary")
+
+
+def representatives(docs: DataFrame, width: int = 4, **options) -> DataFrame:
+    """One document of each component, with all its columns. Rows go by their id; only where an
+    id stands both on texts that stay and on texts that go, by id and text."""
+    rows = components(docs, width=width, digests=True, **options).filter("doc_id IS NOT NULL")
+    rows = saved(rows.select("doc_id", "kept", "digest").distinct(), "verdicts")
+    ids = rows.groupBy("doc_id").agg(F.min("kept").alias("all_stay"), F.max("kept").alias("some_stay"))
+    gone = saved(ids.filter("NOT all_stay"), "gone")
+    torn = gone.filter("some_stay")
+    mine = unused(docs, "of_id")
+    stay = docs.join(gone.select(F.col("doc_id").alias(mine)), F.col("doc_id") == F.col(mine), "left_anti")
+    if torn.isEmpty():
+        return stay
+    text = unused(docs, "of_text")
+    both = docs.join(torn.select(F.col("doc_id").alias(mine)), F.col("doc_id") == F.col(mine), "left_semi").withColumn(text, _digests(width)(F.col("text")))
+    good = rows.filter("kept").select(F.col("doc_id").alias(mine), F.col("digest").alias(f"{text}_"))
+    part = both.join(good, (F.col("doc_id") == F.col(mine)) & (F.col(text) == F.col(f"{text}_")), "left_semi").drop(text)
+    return stay.unionByName(part)

@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded, unused
+
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\x0b\x0c\r"
 
@@ -142,10 +144,11 @@ def verdict(text: Column, level: int = 3, **limits) -> Column:
 
 def report(docs: DataFrame, **limits) -> DataFrame:
     """A row of measures and verdicts for each document."""
-    return docs.select("doc_id", verdict(F.col("text"), **limits).alias("_q")).select("doc_id", "_q.*")
+    return bounded(docs).select("doc_id", verdict(F.col("text"), **limits).alias("_q")).select("doc_id", "_q.*")
 
 
 def passing(docs: DataFrame, **limits) -> DataFrame:
     """The documents kept, with all their columns."""
-    judged = docs.withColumn("__quality_verdict", verdict(F.col("text"), **limits))
-    return judged.filter(F.col("__quality_verdict.kept")).drop("__quality_verdict")
+    name = unused(docs, "quality_verdict")
+    judged = bounded(docs).withColumn(name, verdict(F.col("text"), **limits))
+    return judged.filter(F.col(f"{name}.kept")).drop(name)

@@ -85,7 +85,7 @@ def test_tables_without_links(spark, rows):
 def test_pairing_small_collections_gives_all_tables():
     import pyarrow as pa
     sig = np.arange(2 * 4 * 3, dtype=np.uint32)
-    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([sig.tobytes()], pa.binary())], names=["rep", "signature"])
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([sig.tobytes()], pa.binary())], names=["id", "signature"])
     out = list(n._keys(4, 3)(iter([batch])))
     assert len(set(out[0].column("key").to_pylist())) == 16
 
@@ -116,3 +116,24 @@ def test_no_whole_key_is_put_into_one_task(spark):
     assert {r.id for r in n.mixed(members).collect()} == set(range(60))
     assert n.mixed(members.withColumn("comp", members.key)).isEmpty()
     assert sorted(map(tuple, n.shared(members.select("key", "id").union(spark.createDataFrame([(99, 1)], "key bigint, id bigint"))).collect())) == sorted((k, i, 20) for k, i, *_ in rows)
+
+
+def test_one_id_on_several_texts(spark):
+    a, b, c = fx.prose(random.Random(31), 120), fx.prose(random.Random(32), 120), fx.prose(random.Random(33), 120)
+    near = a.split(" ")
+    near[60] = "changed"
+    rows = [(5, a), (5, b), (2, " ".join(near)), (9, c), (5, "x y"), (5, None), (7, b + " tail"), (7, c)]
+    docs = fx.clashing(spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], fx.DOCS))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in n.components(docs).collect())
+    size = lambda t: len(shingles(t))
+    assert got == sorted([(5, size(a), 2, False), (5, size(b), 5, True), (2, size(a), 2, True), (9, size(c), 7, False), (5, 1, 5, True), (5, 0, 5, True),
+                          (7, size(b) + 1, 5, False), (7, size(c), 7, True)])
+    stay = sorted((r.doc_id, r.text or "") for r in n.representatives(docs).collect())
+    assert stay == sorted([(5, b), (2, rows[2][1]), (5, "x y"), (5, ""), (7, c)])
+    assert n.representatives(docs).columns == docs.columns
+
+
+def test_rounds_and_floor_find_the_same_links(spark):
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(family(7, 12, 0.03) + family(8, 12, 0.045))], fx.DOCS)
+    want = sorted(map(tuple, n.components(docs).collect()))
+    assert want == sorted(map(tuple, n.components(docs, floor=0.6).collect())) == sorted(map(tuple, n.components(docs, pivots=2).collect()))
