@@ -30,7 +30,7 @@ def test_host_votes_decide(spark):
              (102, "http://x.org/", ""), (103, None, "just text"), (104, "http://x.org/1", "<p>unclosed <i>tags &lt;b&gt; " + "word " * 50_000)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "'c' AS host", "'c' AS salt", "'c' AS paths", "'c' AS text", "'c' AS n")
     got = {}
-    for r in h.main_text(pages, salts=4).collect():
+    for r in h.main_text(pages).collect():
         got.setdefault(r.page_id, []).append(r.text)
     assert len(got) == len({r[0] for r in rows}) and sum(map(len, got.values())) == len(rows)
     assert got[3] == [TEXT.replace("One", "One 3")] and got[101] == [TEXT]
@@ -63,3 +63,41 @@ def test_head_without_an_end_tag(top):
 def test_inline_parts_beside_the_article_are_left_out():
     body = "<article><p>Before<span class='share-buttons'>Share <b>this</b></span>after <i class='has-comments'>and</i> on.</p></article>"
     assert h.extract(*h.blocks(page(body)), None) == "Before after and on."
+
+
+@pytest.mark.parametrize("part", ["<p class='share-price'>Kept here.</p>", "<p class='related-work'>Kept here.</p>", "<table><tr><td class='widget-name'>Kept here.</table>",
+                                  "<div class='article-header'><h2>Kept here.</h2></div>", "<p class=x' >Kept here.</p>", "<p title=\"a>b\">Kept here.</p>",
+                                  "<p data-x='class=ad'>Kept here.</p>", "<p class=\"lead\" title='it=\"s'>Kept here.</p>"])
+def test_article_text_is_kept(part):
+    body = ARTICLE.replace("<ul>", f"{part}<ul>")
+    assert h.extract(*h.blocks(page(body)), None) == TEXT.replace("x y", "Kept here. x y")
+
+
+@pytest.mark.parametrize("part", ["class='site-header'", "class='ad-slot'", "id='cookie-banner'", "class='box ad300x250'", "class='top-nav'", "id=sidebar-left"])
+def test_parts_named_by_a_whole_class_are_left_out(part):
+    body = ARTICLE.replace("<ul>", f"<div {part}><p>Not here.</p></div><ul>")
+    assert h.extract(*h.blocks(page(body)), None) == TEXT
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<div class='ad{}'>", "<li>", "<b>", "<span class='share'>", "<p><ul><li>"])
+def test_deep_pages_take_time_in_proportion(tag):
+    import time
+
+    deep = "".join(tag.replace("{}", str(i)) + "w " for i in range(20_000))
+    start = time.time()
+    text = h.extract(*h.blocks("<article><p>Start.</p>" + deep + "</i></section>" * 2000), None)
+    assert text.startswith("Start.") and time.time() - start < 5
+
+
+def test_votes_equal_a_recount(spark):
+    bodies = ["<div class='main'>" + ARTICLE + "</div>", "<div class='post'><p>" + "words and more words " * 9 + "</p></div>", ARTICLE]
+    rows = [(i, f"http://{'abc'[i % 3]}.org/{i}", page(bodies[(i * i) % 3])) for i in range(90)]
+    votes: dict = {}
+    for _, url, html in rows:
+        path, score = h.best_path(*h.blocks(html))
+        if score > 0:
+            of = votes.setdefault(url.split("/")[2], {})
+            of[path] = of.get(path, 0) + 1
+    want = {host: sorted(p - (1 << 63) for p, n in of.items() if n >= 0.1 * sum(of.values())) for host, of in votes.items()}
+    got = h.consensus(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.host: sorted(r.paths) for r in got} == want
