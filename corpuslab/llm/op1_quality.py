@@ -44,15 +44,23 @@ class Band:
     chunk: int
 
 
-#: Short texts compress badly whatever they say (a frame header and few matches), so
-#: their lower limit is looser; long prose reaches a steady ratio. Encoded bytes (base 64)
-#: reach 1.33 at most, 1.08 in 256 bytes, 1.20 in 512, 1.26 in 1024; prose of sf0.1 at least
-#: 1.20, 1.40 and 1.66 there.
+#: Ratios of prose grow with the length, slowly and in a narrow range, so bands are a factor of
+#: two wide. Upper limits lie just above the largest ratio of texts labelled good on sf0.1
+#: (1.84, 1.97, 2.15, 2.22, 2.34, 2.41, 2.48 from 256 bytes on, a band each); longer bands go on
+#: at that rate. Repetitive texts lie above from 1 KB on, some below that. Encoded bytes (base
+#: 64) reach 1.33 at most, 1.08 in 256 bytes, 1.20 in 512, 1.26 in 1024; prose at least 1.34,
+#: 1.43, 1.69, 1.92 in the first bands, its chunks 1.20, 1.40 and 1.66. Chunks of prose reach
+#: 1.76 in 256 bytes, 1.98 in 512, 2.01 in 1024 and 2.23 in 4096.
 BANDS = (
-    Band(512, 1.10, 4.0, 1.10, 4.0, 0.5, 256),
-    Band(2048, 1.30, 5.0, 1.30, 5.0, 0.5, 512),
-    Band(16384, 1.42, 6.0, 1.42, 6.0, 0.5, 1024),
-    Band(float("inf"), 1.50, 8.0, 1.42, 6.0, 0.3, 4096),
+    Band(512, 1.10, 1.90, 1.10, 1.85, 0.5, 256),
+    Band(1024, 1.25, 2.02, 1.10, 1.85, 0.5, 256),
+    Band(2048, 1.40, 2.18, 1.30, 2.08, 0.5, 512),
+    Band(4096, 1.45, 2.26, 1.30, 2.08, 0.5, 512),
+    Band(8192, 1.50, 2.38, 1.42, 2.12, 0.5, 1024),
+    Band(16384, 1.50, 2.48, 1.42, 2.12, 0.5, 1024),
+    Band(32768, 1.55, 2.58, 1.42, 2.36, 0.3, 4096),
+    Band(131072, 1.55, 2.75, 1.42, 2.36, 0.3, 4096),
+    Band(float("inf"), 1.55, 3.20, 1.42, 2.36, 0.3, 4096),
 )
 
 FIELDS = [

@@ -75,7 +75,7 @@ def test_chunks_of_all_lengths_are_judged_to_the_end():
         return "".join(rng.choice(code) if i % 60 else " " for i in range(n))
 
     for n in (1000, 2000, 4000, 4096, 6000, 8000):
-        half = "the same line of words again \n" * (n // 60)
+        half = "the same line of words again \n" * (n // 90)  # the whole is within its band
         for text in (half + noise(n - len(half)), noise(n - len(half)) + half):
             r = judge(text)
             band = q.band_of(len(text))
@@ -88,3 +88,45 @@ def test_chunks_of_all_lengths_are_judged_to_the_end():
             for text in (noise(bad) + prose[bad:], prose[bad:] + noise(bad)):
                 r = judge(text)
                 assert (r[6] <= 0.5) == kept and (kept or not r[-1]), (n, bad)
+
+
+def plain_verdict(text):
+    """Ratios and chunks by a plain reading: the band by length, each chunk by itself, bytes counted one by one."""
+    raw = (text or "").encode()
+    pack = lambda b: len(zstandard.compress(b, 3))
+    if not raw:
+        return 0.0, 0.0, True
+    band = next(b for b in sorted(q.BANDS, key=lambda b: b.max_bytes) if len(raw) <= b.max_bytes)
+    bad = set()
+    for k in range(-(-len(raw) // band.chunk)):
+        own = range(k * band.chunk, min(len(raw), (k + 1) * band.chunk))
+        part = raw[max(0, own.stop - band.chunk):own.stop]
+        ratio = len(part) / pack(part)
+        if ratio < band.chunk_low or ratio > band.chunk_high:
+            bad.update(own)
+    whole, share = len(raw) / pack(raw), len(bad) / len(raw)
+    return whole, share, band.low <= whole <= band.high and share <= band.bad_share
+
+
+def test_ratios_and_chunks_equal_a_plain_reading(spark):
+    rows = fx.doc_rows()
+    verdicts = {r[1]: plain_verdict(r[1]) for r in rows}
+    text = {i: r[1] for i, r in enumerate(rows)}
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in text.items()], fx.DOCS)
+    for r in q.report(docs).collect():
+        whole, share, fine = verdicts[text[r.doc_id]]
+        assert abs(r.ratio - whole) <= 0.02 * whole and abs(r.bad_chunk_share - share) < 1e-9, r.doc_id  # a frame may state its size or not
+        assert r.kept == (not r.base_failed and fine)
+
+
+def test_limits_decide_on_repetitive_prose_of_each_band():
+    """Prose of one of a few stock phrases in each sentence passes the base rules, not its band."""
+    rng = random.Random(12)
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for n in (400, 800, 1500, 5000):
+        text = fx.prose(rng, n)
+        stock = [fx.prose(rng, 2) for _ in range(25)]
+        dull = " ".join(w if i % 3 else rng.choice(stock) for i, w in enumerate(text.split(" ")))
+        plain, low = (q.judge(t, defaultdict(count().__next__), squeeze) for t in (text, dull))
+        assert plain[-1] and not low[7], n
+        assert not low[-1], (n, low[5])
