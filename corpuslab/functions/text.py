@@ -58,6 +58,13 @@ def script_tokens(c, script: str) -> Column:
     return F.regexp_extract_all(col(c), F.lit(f"{script}+"), 0)
 
 
+def once(c: Column) -> Column:
+    """``c`` as a generated column, for a ``select`` of its own: later
+    references read the value, where a projected column's expression would
+    be copied into every filter and lambda that names it."""
+    return F.explode(F.array(c))
+
+
 def whole_words(c, word_class: str) -> Column:
     """Words (maximal ``\\w`` runs) made only of ``word_class`` characters."""
     return F.filter(F.regexp_extract_all(col(c), F.lit(f"{WORD}+"), 0),
@@ -91,18 +98,24 @@ def sentence_pieces(c) -> Column:
     return F.split(col(c), SENTENCE_SPLIT, -1)
 
 
+def worth_cleaning(c, preset: Preset) -> Column:
+    """Whether a stripped phrase has three words of the script and no dash junk."""
+    s = col(c)
+    junk = s.contains("--") | s.contains("- -") | s.contains("– – –")
+    return ~junk & (count_whole_words(s, preset.script) > 2)
+
+
+def cleaned(c, preset: Preset) -> Column:
+    """A phrase without foreign words, white space collapsed."""
+    s = col(c)
+    return collapse_ws(remove_whole_words(s, preset.foreign_word) if preset.foreign_word else s)
+
+
 def clean_sentence(c, preset: Preset) -> Column:
     """``clean_sentence``: NULL when the phrase is rejected, else the cleaned
     phrase. ``c`` must already be stripped."""
-    s = col(c)
-    n_words = count_whole_words(s, preset.script)
-    junk = s.contains("--") | s.contains("- -") | s.contains("– – –")
-    cleaned = s
-    if preset.foreign_word:
-        cleaned = remove_whole_words(cleaned, preset.foreign_word)
-    cleaned = collapse_ws(cleaned)
-    keep = (n_words > 2) & ~junk & cleaned.rlike(preset.script)
-    return F.when(keep, cleaned)
+    x = cleaned(c, preset)
+    return F.when(worth_cleaning(c, preset) & x.rlike(preset.script), x)
 
 
 def tokenize(c) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,17 +130,6 @@ def tfidf_transform(docs: DataFrame, model: DataFrame, key: str = "id", text: st
     return w.join(norm, key).select(key, "term", (F.col("raw") / F.col("nrm")).alias("weight"))
 
 
-def dense_vectors(terms: DataFrame, vocab: DataFrame, key: str = "id") -> DataFrame:
-    """(key, term, weight) -> (key, vec array<double>) over the vocabulary
-    order (index = rank of the term); the vocabulary is bounded."""
-    idx = vocab.withColumn("j", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    size = vocab.count()
-    ent = terms.join(F.broadcast(idx), "term").groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("j", "weight"))).alias("_m"))
-    return ent.select(key, F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
-                                       lambda j: F.coalesce(F.col("_m")[j], F.lit(0.0))).alias("vec"))
-
-
 def reviews(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Labelled reviews (doc_id, text, label): documents joined with their
     quality label."""
@@ -150,10 +137,6 @@ def reviews(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", "text", "label")
 
 
-def _or(cols):
-    return functools.reduce(lambda a, b: a | b, cols)
-
-
 def sparse_vectors(terms: DataFrame, vocab: DataFrame, key: str = "id") -> DataFrame:
     """(key, term, weight) -> (key, idx array<int>, val array<double>) with
     term indices from the (bounded) vocabulary order."""

@@ -21,14 +21,23 @@ TEMPERATURE, TOP_K, TOP_P, PENALTY = 0.7, 50, 0.9, 1.2
 
 
 def distribution(m: LM.Model, context: tuple[str, str]) -> DataFrame:
-    """(model, token, logit): interpolated log2 p of every non-start token of
-    every model after ``context`` (w_-2, w_-1)."""
+    """(model, token, logit): interpolated log p of every non-start token of
+    every model after ``context`` (w_-2, w_-1). The counts that hold the
+    context are filtered by it, so words meet them by model and word; what
+    depends on the context alone is a row a model."""
     w2, w1 = context
-    cand = (m.uni.filter(~F.col("w").isin(LM.S0, LM.S1))
-            .select(F.col("corpus").alias("model"), "w", F.lit(2).alias("i"),
-                    F.lit(w1).alias("w1"), F.lit(w2).alias("w2")))
-    p = LM.interpolated(cand, m, "model")
-    return p.select("model", F.col("w").alias("token"), F.log(F.col("p")).alias("logit"))
+    cnt = lambda c: F.coalesce(F.col(c), F.lit(0))
+    after1 = m.bi.filter(F.col("w1") == w1).select("corpus", F.col("w2").alias("w"), "c2")
+    after2 = m.tri.filter((F.col("w1") == w2) & (F.col("w2") == w1)).select("corpus", F.col("w3").alias("w"), "c3")
+    of1 = m.uni.filter(F.col("w") == w1).select("corpus", F.col("c1").alias("_c1"))
+    of2 = m.bi.filter((F.col("w1") == w2) & (F.col("w2") == w1)).select("corpus", F.col("c2").alias("_c2"))
+    one = m.stats.join(of1, "corpus", "left").join(of2, "corpus", "left")
+    rows = (m.uni.filter(~F.col("w").isin(LM.S0, LM.S1)).join(after1, ["corpus", "w"], "left")
+            .join(after2, ["corpus", "w"], "left").join(F.broadcast(one), "corpus"))
+    V = F.col("vocab_size")
+    p = (F.lit(LM.L1) * (F.col("c1") + 1) / (F.col("total_tokens") + V) + F.lit(LM.L2) * (cnt("c2") + 1) / (cnt("_c1") + V)
+         + F.lit(LM.L3) * (cnt("c3") + 1) / (cnt("_c2") + V))
+    return rows.select(F.col("corpus").alias("model"), F.col("w").alias("token"), F.log(p).alias("logit"))
 
 
 def softmax(df: DataFrame, logit: str = "logit") -> DataFrame:
@@ -63,68 +72,3 @@ def top_p(df: DataFrame, p: float = TOP_P) -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, -1))
     return (d.withColumn("_before", F.coalesce(F.sum("prob").over(w), F.lit(0.0)))
             .filter(F.col("_before") < p).drop("_before", "prob"))
-
-
-def _uniform(seed, *cols) -> "F.Column":
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / float(1 << 32)
-
-
-def generate(m: LM.Model, prompt: str = PROMPT, replicas: int = 5, max_length: int = 200, seed=42,
-             checkpoint_every: int = 1) -> DataFrame:
-    """``generate_reviews``: for every model, ``replicas`` texts that start
-    with ``prompt`` and grow one token per step until ``max_length`` tokens:
-    penalty -> temperature -> top-k -> top-p -> draw with an md5 uniform.
-
-    Each step only scores an exact candidate set (continuations of the
-    context in the trigram and bigram tables, plus the top k + max_length
-    words by count, which bound everything else), never the whole
-    vocabulary per text. All texts advance together; the state is
-    checkpointed every step (it is tiny, and each step reads it four
-    times, so an uncut plan would grow geometrically)."""
-    spark = m.uni.sparkSession
-    start = prompt.split()
-    models = m.stats.select(F.col("corpus").alias("model"))
-    state = models.select("model", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica"),
-                          F.array(*[F.lit(t) for t in start]).alias("toks"))
-    n_top = TOP_K + max_length
-    w = Window.partitionBy("corpus").orderBy(F.col("c1").desc(), "w")
-    uni_top = (m.uni.filter(~F.col("w").isin(LM.S0, LM.S1)).withColumn("_r", F.row_number().over(w))
-               .filter(F.col("_r") <= n_top).select(F.col("corpus").alias("model"), F.col("w").alias("token")))
-    uni_top = uni_top.checkpoint()  # bounded: (k + max_length) rows per model
-    for step in range(len(start), max_length):
-        ctx = state.select("model", "replica", "toks", F.element_at("toks", -2).alias("w2"),
-                           F.element_at("toks", -1).alias("w1"))
-        c_tri = ctx.join(m.tri.select(F.col("corpus").alias("model"), F.col("w1").alias("w2"),
-                                      F.col("w2").alias("w1"), F.col("w3").alias("token")), ["model", "w2", "w1"])
-        c_bi = ctx.join(m.bi.select(F.col("corpus").alias("model"), "w1", F.col("w2").alias("token")),
-                        ["model", "w1"])
-        c_uni = ctx.join(uni_top, "model")
-        cols = ["model", "replica", "toks", "w2", "w1", "token"]
-        cand = (c_tri.select(*cols).unionByName(c_bi.select(*cols)).unionByName(c_uni.select(*cols))
-                .filter(~F.col("token").isin(LM.S0, LM.S1))
-                .dropDuplicates(["model", "replica", "token"]))
-        scored = LM.interpolated(cand.withColumnRenamed("token", "w").withColumn("i", F.lit(2)), m, "model")
-        d = scored.select("model", "replica", "toks", F.col("w").alias("token"), F.log("p").alias("logit"))
-        lg = F.col("logit")
-        d = d.withColumn("logit", F.when(F.array_contains("toks", F.col("token")) & (lg < 0), lg * PENALTY)
-                         .when(F.array_contains("toks", F.col("token")), lg / PENALTY).otherwise(lg))
-        d = d.withColumn("logit", F.col("logit") / F.lit(TEMPERATURE)).withColumn("_step", F.lit(step))
-        key = Window.partitionBy("model", "replica")
-        order = key.orderBy(F.col("logit").desc(), "token")
-        d = d.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= TOP_K)
-        e = F.exp(F.col("logit") - F.max("logit").over(key))
-        d = d.withColumn("prob", e / F.sum(e).over(key))
-        before = F.coalesce(F.sum("prob").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-        d = d.withColumn("_b", before).filter(F.col("_b") < TOP_P)
-        d = d.withColumn("prob", F.col("prob") / F.sum("prob").over(key))
-        d = (d.withColumn("_cum", F.sum("prob").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("_u", _uniform(seed, "model", "replica", "_step"))
-             .withColumn("_last", F.max("_r").over(key)))
-        pick = (d.filter((F.col("_cum") >= F.col("_u")) | (F.col("_r") == F.col("_last")))
-                .groupBy("model", "replica").agg(F.min_by("token", F.col("_r")).alias("next")))
-        state = (state.join(pick, ["model", "replica"])
-                 .withColumn("toks", F.concat("toks", F.array("next"))).drop("next"))
-        if (step - len(start) + 1) % checkpoint_every == 0:
-            state = state.checkpoint()
-    return state.select("model", "replica", F.array_join("toks", " ").alias("text"))

@@ -8,8 +8,9 @@ start-padded sentences, and one stats row (total tokens T, vocabulary V).
            + [i>0] .3 (c(w_-1,w)+1)/(c(w_-1)+V)
            + [i>1] .6 (c(w_-2,w_-1,w)+1)/(c(w_-2,w_-1)+V)
 
-Scoring explodes token positions once and resolves each count with an equi
-left join; the argmax over the vocabulary (next token) is rewritten as the
+Scoring looks counts up once for each distinct (history, token) triple of the
+test side and joins that table of probabilities to the token positions; the
+argmax over the vocabulary (next token) is rewritten as the
 top trigram count per context, because the denominator is constant inside a
 context.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import exists
 
 # FIXED VALUES: interpolation weights, zero floor, start symbols, mask literal
 L1, L2, L3 = 0.1, 0.3, 0.6
@@ -29,9 +31,6 @@ ZERO_FLOOR = 1e-12
 S0, S1 = T.START_SYMBOLS
 UNK = "<UNK>"
 
-# a count table is broadcast only below this many rows (checked, not assumed)
-BROADCAST_ROWS = 500_000
-
 
 @dataclass
 class Model:
@@ -83,44 +82,55 @@ def positions(test: DataFrame, tokens_col: str = "tokens") -> DataFrame:
             .select(*keep, "h.i", "h.w", "h.w1", "h.w2"))
 
 
-def _maybe_broadcast(df: DataFrame, rows: int | None) -> DataFrame:
-    return F.broadcast(df) if rows is not None and rows <= BROADCAST_ROWS else df
+def _spread(word: str, by: str) -> Column:
+    """Join key of a history word. A position without that word needs no
+    count: it gets a key of its own, which no model holds, so that the first
+    tokens of all sentences do not meet in one partition."""
+    return F.when(F.col(word) == "", F.concat(F.lit("\0"), F.col(by))).otherwise(F.col(word))
 
 
-def interpolated(pos: DataFrame, m: Model, model_col: str = "model",
-                 vocab_rows: int | None = None) -> DataFrame:
-    """Adds ``p`` (interpolated probability) to exploded positions; the
-    model used for each row is ``pos[model_col]`` (a corpus name)."""
-    k = F.col(model_col)
-    u = m.uni.withColumnRenamed("corpus", model_col)
-    ub = _maybe_broadcast(u, vocab_rows)
-    out = (pos
-           .join(ub.select(model_col, F.col("w"), F.col("c1").alias("c_w")), [model_col, "w"], "left")
-           .join(ub.select(model_col, F.col("w").alias("w1"), F.col("c1").alias("c_w1")), [model_col, "w1"], "left")
-           .join(m.bi.select(F.col("corpus").alias(model_col), "w1", F.col("w2").alias("w"),
-                             F.col("c2").alias("c_w1w")), [model_col, "w1", "w"], "left")
-           .join(m.bi.select(F.col("corpus").alias(model_col), F.col("w1").alias("w2"),
-                             F.col("w2").alias("w1"), F.col("c2").alias("c_w2w1")), [model_col, "w2", "w1"], "left")
-           .join(m.tri.select(F.col("corpus").alias(model_col), F.col("w1").alias("w2"),
-                              F.col("w2").alias("w1"), F.col("w3").alias("w"), F.col("c3").alias("c_tri")),
-                 [model_col, "w2", "w1", "w"], "left")
-           .join(F.broadcast(m.stats.withColumnRenamed("corpus", model_col)), model_col, "left"))
-    V = F.col("vocab_size")
+def probabilities(triples: DataFrame, m: Model, model_col: str = "model") -> DataFrame:
+    """(model, w2, w1, w, p) of distinct triples (model, w2, w1, w), a
+    missing history word being empty. The unigram and bigram parts are
+    looked up once for each distinct pair (w1, w), the trigram part once for
+    each triple."""
+    k = model_col
     cnt = lambda c: F.coalesce(F.col(c), F.lit(0))
-    p1 = F.lit(L1) * (cnt("c_w") + 1) / (F.col("total_tokens") + V)
-    p2 = F.when(F.col("i") > 0, F.lit(L2) * (cnt("c_w1w") + 1) / (cnt("c_w1") + V)).otherwise(0.0)
-    p3 = F.when(F.col("i") > 1, F.lit(L3) * (cnt("c_tri") + 1) / (cnt("c_w2w1") + V)).otherwise(0.0)
-    p = p1 + p2 + p3
-    return out.withColumn("p", F.when(p == 0, F.lit(ZERO_FLOOR)).otherwise(p)).drop(
-        "c_w", "c_w1", "c_w1w", "c_w2w1", "c_tri", "total_tokens", "vocab_size")
+    stats = F.broadcast(m.stats.withColumnRenamed("corpus", k))  # a row a corpus
+    V = F.col("vocab_size")
+    uni = m.uni.select(F.col("corpus").alias(k), "w", F.col("c1"))
+    bi = m.bi.select(F.col("corpus").alias(k), F.col("w1").alias("_h"), F.col("w2").alias("w"), "c2")
+    pairs = triples.select(k, "w1", "w").distinct().withColumn("_h", _spread("w1", "w"))
+    low = (pairs.join(uni, [k, "w"], "left")
+           .join(uni.select(k, F.col("w").alias("_h"), F.col("c1").alias("_c_h")), [k, "_h"], "left")
+           .join(bi, [k, "_h", "w"], "left").join(stats, k, "left"))
+    p1 = F.lit(L1) * (cnt("c1") + 1) / (F.col("total_tokens") + V)
+    p2 = F.when(F.col("w1") != "", F.lit(L2) * (cnt("c2") + 1) / (cnt("_c_h") + V)).otherwise(0.0)
+    low = low.select(k, "w1", "w", p1.alias("_p1"), p2.alias("_p2"))
+    tri = m.tri.select(F.col("corpus").alias(k), F.col("w1").alias("_g"), F.col("w2").alias("w1"), F.col("w3").alias("w"), "c3")
+    hist = m.bi.select(F.col("corpus").alias(k), F.col("w1").alias("_g"), F.col("w2").alias("w1"), F.col("c2").alias("_c_g"))
+    high = (triples.withColumn("_g", _spread("w2", "w")).join(tri, [k, "_g", "w1", "w"], "left")
+            .join(hist, [k, "_g", "w1"], "left").join(stats, k, "left"))
+    p3 = F.when(F.col("w2") != "", F.lit(L3) * (cnt("c3") + 1) / (cnt("_c_g") + V)).otherwise(0.0)
+    both = high.select(k, "w2", "w1", "w", p3.alias("_p3")).join(low, [k, "w1", "w"])
+    p = F.col("_p1") + F.col("_p2") + F.col("_p3")
+    return both.select(k, "w2", "w1", "w", F.when(p == 0, F.lit(ZERO_FLOOR)).otherwise(p).alias("p"))
+
+
+def interpolated(pos: DataFrame, m: Model, model_col: str = "model") -> DataFrame:
+    """Adds ``p`` (interpolated probability) to exploded positions; the
+    model used for each row is ``pos[model_col]`` (a corpus name). Positions
+    meet one table of the probabilities of their distinct triples."""
+    keyed = pos.withColumn("w1", F.coalesce("w1", F.lit(""))).withColumn("w2", F.coalesce("w2", F.lit("")))
+    probs = probabilities(keyed.select(model_col, "w2", "w1", "w").distinct(), m, model_col)
+    return keyed.join(probs, [model_col, "w2", "w1", "w"])
 
 
 def sentence_logprob(test: DataFrame, m: Model, key: str = "sent_id", model_col: str = "model",
                      tokens_col: str = "tokens") -> DataFrame:
     """``calculate_prob_of_sentence``: (key, model, logprob) = Σ log2 p."""
     pos = positions(test.select(key, model_col, tokens_col), tokens_col)
-    vocab = m.stats.agg(F.sum("vocab_size")).first()[0]  # one tiny action: size check
-    scored = interpolated(pos, m, model_col, vocab_rows=vocab)
+    scored = interpolated(pos, m, model_col)
     return scored.groupBy(key, model_col).agg(F.sum(F.log2("p")).alias("logprob"))
 
 
@@ -182,14 +192,12 @@ def restore(masked: DataFrame, m: Model, model: str, key: str = "sent_id",
     checkpointed to the shared checkpoint folder (lineage cut, survives
     executor loss). Adds ``restored`` (array) and ``generated`` (tokens put
     in the masks, in order)."""
-    # the model's next-token table is read by every round: cut it once
     # the model's next-token table is read by every round: cut it once. It is
     # not pre-partitioned on purpose: with both sides shuffled, adaptive
     # execution can split a hot context of the ready masks (skew join)
     bn = best_next(m).filter(F.col("corpus") == model).select("w1", "w2", "token").checkpoint()
     fb_rows = fallback(m).filter(F.col("corpus") == model).select("fallback").take(1)
     fb = fb_rows[0][0] if fb_rows else UNK
-    others = [c for c in masked.columns if c != key]
     todo = masked.withColumn("_cur", F.transform(masked_col, lambda x: F.when(x != T.MASK, x)))
     unfilled = F.exists("_cur", lambda x: x.isNull())
     finished = []
@@ -204,14 +212,14 @@ def restore(masked: DataFrame, m: Model, model: str, key: str = "sent_id",
             F.element_at(cur, i + 1).isNull()
             & ((i < 1) | F.element_at(cur, F.greatest(i, F.lit(1))).isNotNull())
             & ((i < 2) | F.element_at(cur, F.greatest(i - 1, F.lit(1))).isNotNull())))
-        r = todo.select("*", F.explode(ready).alias("_i"))
-        w1, w2 = context_of(cur, F.col("_i"), edge)
-        r = r.withColumn("w1", w1).withColumn("w2", w2)
-        filled = (r.join(bn, ["w1", "w2"], "left")
-                  .withColumn("_tok", F.coalesce("token", F.lit(fb))))
-        todo = (filled.groupBy(key)
-                .agg(*[F.first(c).alias(c) for c in others + ["_cur"]],
-                     F.map_from_entries(F.collect_list(F.struct("_i", "_tok"))).alias("_fm"))
+        # only (sentence, position, context) meets the next-token table; the
+        # tokens found go back to their sentence, which is shuffled once
+        masks = F.transform(ready, lambda i: F.struct(i.alias("_i"), context_of(cur, i, edge)[0].alias("w1"),
+                                                      context_of(cur, i, edge)[1].alias("w2")))
+        filled = (todo.select(key, F.explode(masks).alias("_x")).select(key, "_x._i", "_x.w1", "_x.w2")
+                  .join(bn, ["w1", "w2"], "left").groupBy(key)
+                  .agg(F.map_from_entries(F.collect_list(F.struct("_i", F.coalesce("token", F.lit(fb)).alias("_tok")))).alias("_fm")))
+        todo = (todo.join(filled, key)
                 .withColumn("_cur", F.transform("_cur", lambda x, i: F.coalesce(x, F.col("_fm")[i])))
                 .drop("_fm"))
     out = finished[0]
@@ -231,8 +239,7 @@ def masked_perplexity(rows: DataFrame, m: Model, model_col: str = "model", key:
     pos = positions(test.select(key, model_col, F.col(restored_col).alias("tokens"),
                                 F.col(masked_col).alias("_m")), "tokens")
     pos = pos.filter(F.col("_m")[F.col("i")] == T.MASK).drop("_m")
-    vocab = m.stats.agg(F.sum("vocab_size")).first()[0]
-    lp = (interpolated(pos, m, model_col, vocab_rows=vocab).groupBy(key, model_col)
+    lp = (interpolated(pos, m, model_col).groupBy(key, model_col)
           .agg(F.avg(F.log2("p")).alias("_avg")))
     return (test.select(key, model_col).join(lp, [key, model_col], "left")
             .select(key, model_col, F.when(F.col("_avg").isNull(), F.lit(float("inf")))
@@ -249,15 +256,15 @@ def save(m: Model, path: str) -> None:
 
 
 def load(spark, path: str) -> Model | None:
-    """Reload a saved model; None when absent or unreadable."""
-    try:
-        return Model(*[spark.read.parquet(f"{path}/{name}") for name in _PARTS])
-    except Exception:  # noqa: BLE001 - absent/corrupt model -> refit
+    """Reload a saved model; None when there is none at ``path``. A model
+    that is there but can't be read is an error, never taken for absent."""
+    if not exists(spark, path):
         return None
+    return Model(*[spark.read.parquet(f"{path}/{name}") for name in _PARTS])
 
 
 def load_or_fit(spark, path: str, fit_fn) -> Model:
-    """Reuse saved tables when all exist, else fit, save and reload."""
+    """Reuse saved tables when there are any, else fit, save and reload."""
     m = load(spark, path)
     if m is None:
         save(fit_fn(), path)

@@ -33,6 +33,24 @@ def occurrences(sent: DataFrame, ns=(2,), padded: bool = False) -> DataFrame:
             .select("corpus", "sent_id", "g.n", "g.ngram", "g.total"))
 
 
+def sentence_counts(sent: DataFrame, ns=(2,)) -> DataFrame:
+    """(corpus, sent_id, n, ngram, total, c): each distinct n-gram of a
+    sentence with its count, without a shuffle: the row's n-grams are sorted
+    and the lengths of equal runs taken."""
+    def tag(n):
+        total = F.greatest(F.size("tokens") - n + 1, F.lit(0)).cast("long")
+        return F.transform(T.ngrams("tokens", n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("ngram"), total.alias("total")))
+
+    grams = F.array_sort(F.flatten(F.array(*[tag(n) for n in ns])))
+    rows = sent.select("corpus", "sent_id", T.once(grams).alias("s")).filter(F.size("s") > 0)
+    starts = F.filter(F.sequence(F.lit(1), F.size("s")), lambda i: (i == 1) | (F.element_at("s", i) != F.element_at("s", F.greatest(i - 1, F.lit(1)))))
+    rows = rows.select("corpus", "sent_id", "s", T.once(starts).alias("at"))
+    runs = F.transform("at", lambda a, j: F.struct(F.element_at("s", a).alias("g"),
+                                                   (F.coalesce(F.get("at", j + 1), F.size("s") + 1) - a).cast("long").alias("c")))
+    return (rows.select("corpus", "sent_id", F.explode(runs).alias("r"))
+            .select("corpus", "sent_id", "r.g.n", "r.g.ngram", "r.g.total", "r.c"))
+
+
 def counts(sent: DataFrame, ns=(2,), padded: bool = False) -> DataFrame:
     """(corpus, n, ngram, cnt)."""
     return (occurrences(sent, ns, padded).groupBy("corpus", "n", "ngram")
@@ -56,13 +74,10 @@ def tfidf_scores(sent: DataFrame, ns=(2,), t: int = 5) -> DataFrame:
     """``calculate_tfidf``: Σ_sentences tf · log2(N/df), N = all sentences
     of the corpus (also those without an n-gram), kept when df >= t.
 
-    tf = count/total per sentence; two aggregations: per (sentence, n-gram)
-    then per n-gram (the first shuffle is keyed by sentence, so a frequent
-    n-gram is spread over reducers). ``total`` rides along from the array
+    tf = count/total per sentence, counted in the row, so the only shuffle is
+    that of the partial sums by n-gram. ``total`` rides along from the array
     size, so no join is needed to normalise."""
-    occ = occurrences(sent, ns)
-    tf = (occ.groupBy("corpus", "sent_id", "n", "ngram", "total").agg(F.count(F.lit(1)).alias("c"))
-          .select("corpus", "n", "ngram", (F.col("c") / F.col("total")).alias("tf")))
+    tf = sentence_counts(sent, ns).select("corpus", "n", "ngram", (F.col("c") / F.col("total")).alias("tf"))
     n_docs = sent.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_docs"))
     agg = tf.groupBy("corpus", "n", "ngram").agg(F.sum("tf").alias("tf_sum"), F.count(F.lit(1)).alias("df"))
     return (agg.filter(F.col("df") >= t)

@@ -7,12 +7,15 @@ executor losses, and every operator has a SQL oracle.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 
 MASK = T.MASK
+FEW_ROWS = 1000  # rows sorted to find the last one of a cut
 
 
 def _hash(seed, key: Column, i: Column) -> Column:
@@ -57,8 +60,9 @@ def group_rank(df: DataFrame, by: list, order: list, name: str = "_rank") -> Dat
     1. range-partition on (group, order) and cut lineage, so a hot group is
        spread over many partitions in order;
     2. number rows inside each (partition, group) piece;
-    3. add the sizes of the same group's earlier pieces (a small table of
-       partitions x groups, broadcast).
+    3. add the sizes of the same group's earlier pieces. Only the first
+       group of a partition can go on from an earlier one, so there is at
+       most one offset a partition, which bounds the broadcast.
     """
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -69,10 +73,16 @@ def group_rank(df: DataFrame, by: list, order: list, name: str = "_rank") -> Dat
             .checkpoint())  # fixes the partition of every row
     local = part.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", *by).orderBy(*okeys)))
     sizes = part.groupBy("_pid", *by).agg(F.count(F.lit(1)).alias("_c"))
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_c").over(
-        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (local.join(F.broadcast(offs.select("_pid", *by, "_off")), ["_pid", *by])
-            .withColumn(name, (F.col("_lr") + F.col("_off")).cast("long"))
+    offs = sizes.withColumn("_off", F.sum("_c").over(
+        Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).filter("_off > 0")
+    for c in by:  # a null group has a rank too
+        offs = offs.withColumnRenamed(c, f"_g_{c}")
+    same = F.col("_pid") == F.col("_gpid")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    offs = offs.select(F.col("_pid").alias("_gpid"), *[f"_g_{c}" for c in by], "_off")
+    return (local.join(F.broadcast(offs), same, "left").drop("_gpid", *[f"_g_{c}" for c in by])
+            .withColumn(name, (F.col("_lr") + F.coalesce("_off", F.lit(0))).cast("long"))
             .drop("_pid", "_lr", "_off", *okeys))
 
 
@@ -106,7 +116,27 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, seed=42, key: str =
 
 
 def train_test(df: DataFrame, test_fraction: float = 0.2, seed=42, key: str = "sent_id") -> DataFrame:
-    """Deterministic split: ``is_test`` when the md5 bucket falls in the
-    test share (no global sort; per-row decision)."""
-    h = F.conv(F.substring(T.md5_order(seed, key), 1, 8), 16, 10).cast("long")
-    return df.withColumn("is_test", (h % 10000) < int(round(test_fraction * 10000)))
+    """Exact split: the first ceil(fraction * n) rows in (md5, key) order are
+    ``is_test``. The cut is found by histograms of md5 prefixes (65,536
+    counts a pass, then those of the prefix that holds the cut) until few
+    rows share the prefix; no sort and no rank of the table. Rows that share
+    a key are on the same side."""
+    h = T.md5_order(seed, key)
+    n = df.count()
+    left = math.ceil(round(test_fraction * n, 9))
+    if left <= 0 or left >= n:
+        return df.withColumn("is_test", F.lit(left > 0))
+    prefix, here = "", n
+    while here > FEW_ROWS and len(prefix) < 32:
+        part = df.select(h.alias("_h")).filter(F.col("_h").startswith(prefix))
+        at = len(prefix)
+        for r in sorted(part.groupBy(F.substring("_h", at + 1, 4).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r["p"]):
+            if r["n"] >= left:
+                prefix, here = prefix + r["p"], r["n"]
+                break
+            left -= r["n"]
+    last = (df.select(h.alias("_h"), F.col(key).alias("_k")).filter(F.col("_h").startswith(prefix))
+            .orderBy("_h", "_k").limit(left).agg(F.max(F.struct("_h", "_k")).alias("m")).first()["m"])
+    kind = df.schema[key].dataType
+    cut = F.struct(F.lit(last["_h"]).alias("_h"), F.lit(last["_k"]).cast(kind).alias("_k"))
+    return df.withColumn("is_test", F.struct(h.alias("_h"), F.col(key).alias("_k")) <= cut)

@@ -50,24 +50,24 @@ def phrases(turns: DataFrame, text_col: str = "text") -> DataFrame:
     return (turns
             .select("*", F.posexplode(T.sentence_pieces(text_col)).alias("piece_pos", "piece"))
             .drop(text_col)
-            .withColumn("phrase", T.py_strip("piece"))
+            .select("*", T.once(T.py_strip("piece")).alias("phrase"))
             .drop("piece")
             .filter(F.col("phrase") != ""))
 
 
 def clean_phrases(ph: DataFrame, preset: Preset) -> DataFrame:
-    """``clean_sentence`` + the 4-part minimum, before tokenizing."""
-    return (ph.withColumn("clean", T.clean_sentence("phrase", preset))
-            .filter(F.col("clean").isNotNull())
-            .filter(F.size(T.space_tokens("clean")) >= 4))
+    """``clean_sentence`` + the 4-part minimum, before tokenizing. Phrases
+    are tested as they are first; each one left is cleaned once."""
+    return (ph.filter(T.worth_cleaning("phrase", preset))
+            .select("*", T.once(T.cleaned("phrase", preset)).alias("clean"))
+            .filter(F.col("clean").rlike(preset.script) & (F.size(T.space_tokens("clean")) >= 4)))
 
 
 def sentences_from_turns(turns: DataFrame, preset: Preset) -> DataFrame:
     """turns(file_id, turn_id, text, ...) -> sentences(..., sent_id, tokens,
     sentence_text, n_tokens)."""
     s = clean_phrases(phrases(turns), preset)
-    tokens = T.tokenize("clean")
-    return (s.withColumn("tokens", tokens)
+    return (s.select("*", T.once(T.tokenize("clean")).alias("tokens"))
             .withColumn("sentence_text", F.array_join("tokens", " "))
             .withColumn("n_tokens", F.size("tokens").cast("long"))
             .withColumn("sent_id", sent_id())
@@ -76,8 +76,9 @@ def sentences_from_turns(turns: DataFrame, preset: Preset) -> DataFrame:
 
 
 def protocol_number(text_col: str, preset: Preset) -> "F.Column":
-    """First integer of the comma list after the protocol phrase, else the
-    ordinal-words lookup (when the preset has one), else -1."""
+    """Of a file's whole text: the first integer of the comma list after the
+    protocol phrase, wherever it stands, else the ordinal-words lookup (when
+    the preset has one), else -1."""
     first = F.split(F.regexp_extract(F.col(text_col), preset.protocol_number, 1), ",").getItem(0)
     num = F.trim(first).try_cast("long")
     if preset.session_ordinal and preset.ordinals:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.presets import Preset
-from .sentences import file_name_parts
+from .sentences import file_name_parts, protocol_number, sentences_from_turns
 
 
 def py_re(p: str) -> str:
@@ -106,5 +106,25 @@ def turns(paragraphs: DataFrame, preset: Preset, all_marked: bool = False) -> Da
                     F.array_join(F.transform("_p", lambda s: s["piece"]), " ").alias("text")))
 
 
+def file_texts(paragraphs: DataFrame) -> DataFrame:
+    """(file_id, protocol_name, text): a file's paragraphs joined by line ends."""
+    return (paragraphs.groupBy("file_id")
+            .agg(F.any_value("protocol_name").alias("protocol_name"), F.array_sort(F.collect_list(F.struct("para_idx", "text"))).alias("_p"))
+            .select("file_id", "protocol_name", F.array_join(F.transform("_p", lambda s: s["text"]), "\n").alias("text")))
+
+
+def sentence_records(paragraphs: DataFrame, preset: Preset) -> DataFrame:
+    """paragraphs(file_id, protocol_name, para_idx, text) of any number of
+    transcripts -> sentence records (D2): metadata from the file name, the
+    protocol number from the whole file's text, speakers, turns, phrases,
+    cleaning and tokens."""
+    meta = file_texts(paragraphs).select("file_id", "protocol_name", protocol_number("text", preset).alias("protocol_number"))
+    k, kind = file_name_parts("protocol_name")
+    joined = (turns(paragraphs, preset).join(meta, "file_id")
+              .select("file_id", "turn_id", kind.alias("corpus"), "protocol_name", k.alias("knesset_number"),
+                      kind.alias("protocol_type"), "protocol_number", "speaker_name", "text"))
+    return sentences_from_turns(joined, preset)
+
+
 __all__ = ["turns", "with_speakers", "speaker_name", "clean_speaker_name", "header_candidate",
-           "file_name_parts"]
+           "file_name_parts", "file_texts", "sentence_records"]

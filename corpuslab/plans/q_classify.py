@@ -343,9 +343,9 @@ def q_shuffled(spark, sf_dir):
 
 
 @query("train_test_split", f"""WITH {REVIEWS}
-SELECT doc_id, (CAST(('0x' || substr({S.md5_order(SEED, 'doc_id')}, 1, 8)) AS BIGINT) % 10000) < 2000 AS is_test FROM reviews""")
+SELECT doc_id, row_number() OVER (ORDER BY {S.md5_order(SEED, 'doc_id')}, doc_id) <= ceil((SELECT count(*) FROM reviews) * 0.2) AS is_test FROM reviews""")
 def q_train_test_split(spark, sf_dir):
-    """M7: deterministic 80/20 split by md5 bucket."""
+    """M7: exact, seeded 80/20 split (a fifth, rounded up, is test)."""
     return M.train_test(_reviews(spark, sf_dir), 0.2, SEED, key="doc_id").select("doc_id", "is_test")
 
 

@@ -11,31 +11,25 @@ from ..functions import text as T
 from ..operators import features as FT
 from ..operators import generate as GN
 from ..operators import lm as LM
-from ..operators import sampling as M
 from ..session import materialize
 from ..sources.tables import table
 from . import sqlfrag as S
 from .registry import query
 
-SEED = 42
 PROMPT = GN.PROMPT.split()
 CTX = (PROMPT[-2], PROMPT[-1])
 
 
 def _class_model(spark, sf_dir):
+    """A model for each label, from all its reviews and their whole texts."""
     rv = FT.reviews(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    sub = M.per_group_n(rv, "label", 100, SEED, key="doc_id")
-    docs = sub.select(F.col("label").cast("string").alias("corpus"),
-                      F.slice(T.ws_tokens("text"), 1, 150).alias("tokens"))
-    m = LM.fit(docs)
+    m = LM.fit(rv.select(F.col("label").cast("string").alias("corpus"), T.ws_tokens("text").alias("tokens")))
     key = os.path.abspath(sf_dir)
     return LM.Model(*[materialize(getattr(m, n), key, f"class_lm_{n}") for n in ("uni", "bi", "tri", "stats")])
 
 
 CLASS_LM = f"""reviews AS (SELECT d.doc_id, d.text, CAST(l.quality AS BIGINT) AS label FROM documents d JOIN labels l USING (doc_id)),
-rt AS (SELECT CAST(label AS VARCHAR) AS corpus, list_concat(['<s_0>', '<s_1>'], {S.ws_tokens('text')}[1:150]) AS t FROM
-       (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {S.md5_order(SEED, 'doc_id')}, doc_id) AS r
-                       FROM reviews) WHERE r <= 100)),
+rt AS (SELECT CAST(label AS VARCHAR) AS corpus, list_concat(['<s_0>', '<s_1>'], {S.ws_tokens('text')}) AS t FROM reviews),
 cp AS (SELECT corpus, t[i + 1] AS w, CASE WHEN i >= 1 THEN t[i] END AS w1, CASE WHEN i >= 2 THEN t[i - 1] END AS w2
        FROM (SELECT corpus, t, unnest(range(0, len(t))) AS i FROM rt)),
 cu AS (SELECT corpus, w, count(*) AS c1 FROM cp GROUP BY corpus, w),
@@ -111,10 +105,3 @@ def q_next_dist_topp(spark, sf_dir):
     """Penalty, temperature, top-50, then top-p 0.9 (the token that
     crosses the threshold is kept), renormalised."""
     return _out(GN.top_p(GN.top_k(GN.temperature(GN.penalize(_dist(spark, sf_dir), PROMPT)))))
-
-
-@query("generate")
-def q_generate(spark, sf_dir):
-    """Five sampled texts per class model from the prompt, up to 200
-    tokens (rows-only: a sampled sequence)."""
-    return GN.generate(_class_model(spark, sf_dir), GN.PROMPT, replicas=5, max_length=200, seed=SEED)

@@ -69,7 +69,8 @@ def q_jsonl_default(spark, sf_dir):
                  F.sum((F.col("sentence_text") == "").cast("long")).cast("long").alias("n_empty"))
 
 
-@query("jsonl_strict")
+@query("jsonl_strict", f"""WITH {S.sentences_ctes()}
+SELECT protocol_name, knesset_number, protocol_type, protocol_number, speaker_name, sentence_text FROM sentences""")
 def q_jsonl_strict(spark, sf_dir):
     """S3: strict JSONL read (FAILFAST) of the written sentence records."""
     return J.read_strict(spark, _sentence_jsonl(spark, sf_dir))

@@ -15,6 +15,7 @@ from ..operators.sentences import sentence_table
 from ..session import materialize, scratch_path
 from ..sources.tables import table
 from . import sqlfrag as S
+from .q_ngrams import tfidf_scores_sql
 from .registry import query
 
 SENT = S.sentences_ctes()
@@ -192,9 +193,8 @@ occ AS (SELECT corpus, sent_id, unnest({S.ngrams('tokens', 2)}) AS ngram, greate
 SELECT corpus, sent_id, ngram, count(*) / any_value(total) AS tf FROM occ GROUP BY corpus, sent_id, ngram""")
 def q_ngram_tf(spark, sf_dir):
     """Term frequency of each bigram in each sentence."""
-    occ = G.occurrences(sentence_table(spark, sf_dir), (2,))
-    return (occ.groupBy("corpus", "sent_id", "ngram", "total").agg(F.count(F.lit(1)).alias("c"))
-            .select("corpus", "sent_id", "ngram", (F.col("c") / F.col("total")).alias("tf")))
+    c = G.sentence_counts(sentence_table(spark, sf_dir), (2,))
+    return c.select("corpus", "sent_id", "ngram", (F.col("c") / F.col("total")).alias("tf"))
 
 
 @query("ngram_idf", f"""WITH {SENT},
@@ -210,7 +210,20 @@ def q_ngram_idf(spark, sf_dir):
             .select("corpus", "ngram", "df", F.round(F.log2(F.col("n_docs") / F.col("df")), 6).alias("idf")))
 
 
-@query("collocation_report", None)
+_TF = tfidf_scores_sql((2, 3, 4)).replace("sc AS (", "sc0 AS (")
+REPORT_CTES = f"""{_TF},
+fc AS (SELECT corpus, n, ngram, count(*) AS cnt FROM occ GROUP BY corpus, n, ngram HAVING count(*) >= 5),
+fr AS (SELECT *, row_number() OVER (PARTITION BY corpus, n ORDER BY cnt DESC, ngram) AS rank FROM fc),
+tr AS (SELECT *, row_number() OVER (PARTITION BY corpus, n ORDER BY round(tfidf, 6) DESC, ngram) AS rank FROM sc0),
+body AS (SELECT corpus, n, 'Frequency' AS metric, rank, ngram AS collocation FROM fr WHERE rank <= 10
+         UNION ALL SELECT corpus, n, 'TF-IDF', rank, ngram FROM tr WHERE rank <= 10),
+grid AS (SELECT * FROM (SELECT DISTINCT corpus FROM sentences), (SELECT unnest([2, 3, 4]) AS n), (SELECT unnest(['Frequency', 'TF-IDF']) AS metric)),
+report AS (SELECT CAST(n AS BIGINT) AS n, metric, corpus, CAST(rank AS BIGINT) AS rank, collocation FROM body
+           UNION ALL SELECT CAST(n AS BIGINT), metric, corpus, CAST(0 AS BIGINT), 'No collocations found.'
+           FROM grid g WHERE NOT EXISTS (SELECT 1 FROM body b WHERE b.corpus = g.corpus AND b.n = g.n AND b.metric = g.metric))"""
+
+
+@query("collocation_report", f"WITH {SENT}, {REPORT_CTES} SELECT * FROM report")
 def q_collocation_report(spark, sf_dir):
     """N in 2,3,4 x metric x corpus, <= 10 lines each, or one
     ``No collocations found.`` line. One explode + one shuffle per metric
@@ -447,11 +460,36 @@ def q_restored_eval(spark, sf_dir):
                     F.size(hits).cast("long").alias("n_correct"))
 
 
-@query("lm_run")
+@query("collocation_lines", f"""WITH {SENT}, {REPORT_CTES},
+heads AS (SELECT n, metric, corpus, 0 AS k, CASE n WHEN 2 THEN 'Two' WHEN 3 THEN 'Three' ELSE 'Four' END || '-gram collocations, ' || metric || ', ' || corpus || ':' AS line
+          FROM (SELECT DISTINCT n, metric, corpus FROM report))
+SELECT n, metric, corpus, CAST(greatest(rank, 1) AS BIGINT) AS line_no, collocation AS line FROM report
+UNION ALL SELECT n, metric, corpus, CAST(k AS BIGINT), line FROM heads""")
+def q_collocation_lines(spark, sf_dir):
+    """The report as text lines written and read back: a heading, then
+    at most 10 lines or ``No collocations found.``"""
+    r = q_collocation_report(spark, sf_dir)
+    size = F.create_map(*[F.lit(x) for k, v in ((2, "Two"), (3, "Three"), (4, "Four")) for x in (k, v)])
+    heads = r.select("n", "metric", "corpus").distinct().select(
+        "n", "metric", "corpus", F.lit(0).cast("long").alias("line_no"),
+        F.concat(size[F.col("n").cast("int")], F.lit("-gram collocations, "), "metric", F.lit(", "), "corpus", F.lit(":")).alias("line"))
+    lines = r.select("n", "metric", "corpus", F.greatest("rank", F.lit(1)).cast("long").alias("line_no"), F.col("collocation").alias("line"))
+    path = scratch_path(spark, os.path.abspath(sf_dir), "collocation_lines")
+    (heads.unionByName(lines).select("n", "metric", "corpus", F.format_string("%02d\t%s", "line_no", "line").alias("value"))
+     .write.mode("overwrite").partitionBy("n", "metric", "corpus").text(path))
+    back = spark.read.option("recursiveFileLookup", "false").text(path)
+    return back.select(F.col("n").cast("long").alias("n"), "metric", "corpus", F.substring("value", 1, 2).cast("long").alias("line_no"),
+                       F.expr("substring(value, 4)").alias("line"))
+
+
+@query("lm_run", f"""{_PPL_SQL}, {REPORT_CTES}
+SELECT (SELECT count(*) FROM stats) AS n_models, (SELECT CAST(sum(total_tokens) AS BIGINT) FROM stats) AS total_tokens,
+       (SELECT count(*) FROM report) AS report_lines, (SELECT count(*) FROM pp) AS n_restored,
+       (SELECT round(avg(perplexity), 6) FROM pp) AS avg_perplexity""")
 def q_lm_run(spark, sf_dir):
     """L7 (the reference's LM main, registered under a neutral name): fit
     every corpus model, build the collocation report, mask and restore,
-    score, and report one summary row (rows-only: a composition)."""
+    score, and report one summary row."""
     report = q_collocation_report(spark, sf_dir)
     r = restored(spark, sf_dir).withColumn("model", F.lit(PLENARY))
     ppl = LM.masked_perplexity(r, _model(spark, sf_dir))
@@ -459,5 +497,5 @@ def q_lm_run(spark, sf_dir):
     one = F.lit(1).alias("_k")  # one-row summaries joined on a constant key
     a = stats.agg(F.count(F.lit(1)).alias("n_models"), F.sum("total_tokens").alias("total_tokens")).select("*", one)
     b = report.agg(F.count(F.lit(1)).alias("report_lines")).select("*", one)
-    c = ppl.agg(F.count(F.lit(1)).alias("n_restored"), F.avg("perplexity").alias("avg_perplexity")).select("*", one)
+    c = ppl.agg(F.count(F.lit(1)).alias("n_restored"), F.round(F.avg("perplexity"), 6).alias("avg_perplexity")).select("*", one)
     return a.join(b, "_k").join(c, "_k").drop("_k")

@@ -3,6 +3,8 @@ transcript sentences) and the text-rule views of the sentence pipeline."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -70,27 +72,35 @@ def sql_speaker(text: str, marked: bool = False, preset: Preset = P) -> str:
 CONV_NAME = ("concat(CAST(conv_id % 6 + 20 AS VARCHAR), '_', CASE WHEN conv_id % 2 = 0 THEN 'ptm' ELSE 'ptv' END, "
              "'_', CAST(conv_id AS VARCHAR), '.docx')")
 
-PARAS = f"""rawp AS (SELECT conv_id AS file_id, {CONV_NAME} AS protocol_name, turn,
+def paras_sql(file_id: str = "conv_id") -> str:
+    return f"""rawp AS (SELECT {file_id} AS file_id, {CONV_NAME} AS protocol_name, turn,
                 unnest(list_concat(['<< ' || role || ' >>:'], string_split(text, chr(10)))) AS text,
                 unnest(range(0, 1 + len(string_split(text, chr(10))))) AS line FROM conversations),
 paras AS (SELECT file_id, protocol_name, CAST(turn AS BIGINT) * 4294967296 + line AS para_idx, {S.strip('text')} AS text
           FROM rawp WHERE {S.strip('text')} <> '')"""
 
 
-def speakers_sql(marked: bool = False) -> str:
-    return f"""{PARAS},
+PARAS = paras_sql()
+
+
+def speakers_sql(marked: bool = False, file_id: str = "conv_id") -> str:
+    return f"""{paras_sql(file_id)},
 hdr AS (SELECT *, {sql_speaker('text', marked)} AS header FROM paras),
 spk AS (SELECT *, last_value(header IGNORE NULLS) OVER w AS speaker, count(header) OVER w AS turn_id
         FROM hdr WINDOW w AS (PARTITION BY file_id ORDER BY para_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
-TURNS = f"""{speakers_sql()},
+def turns_sql(file_id: str = "conv_id") -> str:
+    return f"""{speakers_sql(file_id=file_id)},
 turns0 AS (SELECT file_id, CAST(turn_id AS BIGINT) AS turn_id, max(header) AS speaker_name,
                   string_agg(CASE WHEN header IS NOT NULL THEN {S.strip("substr(text, strpos(text, ':') + 1)")}
                                   ELSE text END, ' ' ORDER BY para_idx) AS text
            FROM spk WHERE turn_id > 0 GROUP BY file_id, turn_id)"""
 
 
+TURNS = turns_sql()
+
+
 # ---------------------------------------------------------------- queries
 
 @query("paragraphs", f"WITH {PARAS} SELECT file_id, para_idx, text FROM paras")
@@ -162,38 +172,49 @@ def q_speaker_turns(spark, sf_dir):
     return TR.turns(SRC.paragraphs(spark, sf_dir), P).withColumnRenamed("text", "turn_text")
 
 
-_TS_TURNS = f"""{TURNS},
+def _file_turns_sql(file_id: str = "conv_id") -> str:
+    return f"""{turns_sql(file_id)},
+texts AS (SELECT file_id, any_value(protocol_name) AS protocol_name, string_agg(text, chr(10) ORDER BY para_idx) AS text
+          FROM paras GROUP BY file_id),
 turns AS (SELECT t.file_id, t.turn_id, CASE split_part(m.protocol_name, '_', 2) WHEN 'ptm' THEN 'plenary'
                       WHEN 'ptv' THEN 'committee' ELSE 'unknown' END AS corpus, m.protocol_name,
                  TRY_CAST(split_part(m.protocol_name, '_', 1) AS BIGINT) AS knesset_number,
                  CASE split_part(m.protocol_name, '_', 2) WHEN 'ptm' THEN 'plenary' WHEN 'ptv' THEN 'committee'
                       ELSE 'unknown' END AS protocol_type,
-                 m.protocol_number, t.speaker_name, t.text
-          FROM turns0 t JOIN (SELECT file_id, any_value(protocol_name) AS protocol_name,
-                                     coalesce(min_by({S.protocol_number('text')}, para_idx)
-                                              FILTER (WHERE {S.protocol_number('text')} >= 0), -1) AS protocol_number
-                              FROM paras GROUP BY file_id) m USING (file_id))"""
+                 {S.protocol_number('m.text')} AS protocol_number, t.speaker_name, t.text
+          FROM turns0 t JOIN texts m USING (file_id))"""
+
 
+RECORD = ["sent_id", "file_id", "turn_id", "piece_pos", "protocol_name", "knesset_number", "protocol_type",
+          "protocol_number", "speaker_name", "sentence_text"]
 
-@query("transcript_sentences", f"""WITH {S.sentences_ctes(_TS_TURNS)}
-SELECT sent_id, file_id, turn_id, piece_pos, protocol_name, knesset_number, protocol_type, protocol_number,
-       speaker_name, sentence_text FROM sentences""")
+
+@query("transcript_sentences", f"WITH {S.sentences_ctes(_file_turns_sql())} SELECT {', '.join(RECORD)} FROM sentences")
 def q_transcript_sentences(spark, sf_dir):
     """Entry A end to end: transcripts -> turns -> sentence records."""
-    paras = SRC.paragraphs(spark, sf_dir)
-    t = TR.turns(paras, P)
-    pn = SN.protocol_number("text", P)
-    meta = (paras.groupBy("file_id")
-            .agg(F.any_value("protocol_name").alias("protocol_name"),
-                 F.coalesce(F.min_by(pn, F.when(pn >= 0, F.col("para_idx"))), F.lit(-1).cast("long"))
-                 .alias("protocol_number")))
-    k, ty = SN.file_name_parts("protocol_name")
-    turns = (t.join(meta, "file_id")
-             .select("file_id", "turn_id", ty.alias("corpus"), "protocol_name",
-                     k.alias("knesset_number"), ty.alias("protocol_type"), "protocol_number", "speaker_name", "text"))
-    s = SN.sentences_from_turns(turns, P)
-    return s.select("sent_id", "file_id", "turn_id", "piece_pos", "protocol_name", "knesset_number",
-                    "protocol_type", "protocol_number", "speaker_name", "sentence_text")
+    return TR.sentence_records(SRC.paragraphs(spark, sf_dir), P).select(*RECORD)
+
+
+@query("docx_sentences", f"WITH {S.sentences_ctes(_file_turns_sql(CONV_NAME))} SELECT {', '.join(RECORD)} FROM sentences")
+def q_docx_sentences(spark, sf_dir):
+    """A folder of .docx transcripts read file by file and turned
+    into sentence records (files are told apart by their names)."""
+    from ..sources import docx as DX
+    paras = DX.read_paragraphs(spark, _docx_folder(spark, sf_dir)).withColumn("text", T.py_strip("text")).filter("text <> ''")
+    return TR.sentence_records(paras.withColumn("file_id", F.col("protocol_name")), P).select(*RECORD)
+
+
+# a preset with both branches: a phrase before the digits, and ordinal words
+WORDED = replace(P, protocol_number=r"[Nn]o\.?\s*(\d+(?:,\s*\d+)*)", session_ordinal=r"the\s+([a-z]+)\s+of",
+                 ordinals={"and": 1, "end": 2, "one": 3, "that": 4, "her": 5, "time": 6, "there": 7})
+
+
+@query("protocol_number_words", f"""SELECT doc_id AS file_id, {S.protocol_number('text', WORDED)} AS protocol_number FROM documents""")
+def q_protocol_number_words(spark, sf_dir):
+    """Digits after the phrase, else the ordinal words of the session
+    phrase, else -1."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("file_id"), SN.protocol_number("text", WORDED).alias("protocol_number"))
 
 
 # ---------------------------------------------------------------- text views
@@ -251,9 +272,7 @@ SELECT sent_id, corpus FROM sentences WHERE corpus = 'fr'
 UNION ALL SELECT sent_id, corpus FROM sentences WHERE corpus = 'en'""")
 def q_corpus_union(spark, sf_dir):
     """Committee + plenary sentences (union all)."""
-    s = sentence_table(spark, sf_dir)
-    return (s.filter(F.col("corpus") == "fr").select("sent_id", "corpus")
-            .unionByName(s.filter(F.col("corpus") == "en").select("sent_id", "corpus")))
+    return sentence_table(spark, sf_dir).filter(F.col("corpus").isin("fr", "en")).select("sent_id", "corpus")
 
 
 @query("nonblank_lines", f"""SELECT item_id, CAST(line_no AS BIGINT) AS line_no, {S.strip('line')} AS line FROM (

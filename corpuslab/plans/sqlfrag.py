@@ -105,7 +105,11 @@ def mask_count(n: str, x: float) -> str:
 
 def protocol_number(text: str, preset: Preset = LATIN) -> str:
     first = f"trim(split_part(regexp_extract({text}, {q(preset.protocol_number)}, 1), ',', 1))"
-    return f"coalesce(TRY_CAST({first} AS BIGINT), -1)"
+    words = ""
+    if preset.session_ordinal and preset.ordinals:
+        found = f"replace(regexp_extract({text}, {q(preset.session_ordinal)}, 1), '-', ' ')"
+        words = f", CASE {found} " + " ".join(f"WHEN {q(k)} THEN {v}" for k, v in preset.ordinals.items()) + " END"
+    return f"coalesce(TRY_CAST({first} AS BIGINT){words}, -1)"
 
 
 def documents_turns_cte(preset: Preset = LATIN) -> str:

@@ -81,6 +81,12 @@ def materialize(df, *key: str):
     return spark.read.parquet(_MATERIALIZED[k])
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path`` in the file system it names."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def saved(df, name: str):
     """``df`` written as Parquet to a new folder of the shared scratch space
     and read back: a lineage cut for tables that are read more than once."""
