@@ -8,9 +8,9 @@ sorted together; the sweep carries the stack of rules open at the last rule seen
 rule comes with the rules around it) and a url key takes the innermost that still covers
 it. The longest rule over a url's keys wins.
 
-Skew: the sweep runs within (first label, salt); url keys are dealt over ``salts`` pieces
-and the rules are copied to each, so a hot host is spread. The best rule per url is a
-maximum with partial aggregation.
+Skew: the sweep runs within (first label, salt); url keys are dealt over as many salts as
+keep a piece below ``PIECE`` keys whatever the table's size, and the rules are copied to each,
+so a hot host is spread. The best rule per url is a maximum with partial aggregation.
 
 Defined results: null urls and urls without ``://`` have an empty host and path and match
 nothing; unmatched urls get ``default``. Every input row gives one row, repeated rows and
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 SEPARATOR = "\x01"
+#: Url keys that one window sorts at most, about.
+PIECE = 500_000
 
 
 def split_url(pages: DataFrame) -> DataFrame:
@@ -61,13 +63,15 @@ def with_stack(rules: DataFrame) -> DataFrame:
     return stacks.select("key", F.expr("transform(s, x -> x.outer)").alias("stack"))
 
 
-def judge(pages: DataFrame, rules: DataFrame | None = None, default: str = "allow", salts: int = 64) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame | None = None, default: str = "allow", salts: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict for every row of ``pages``."""
     spark = pages.sparkSession
     rules = rule_table(spark) if rules is None else rules
     stacks = with_stack(rules)
     depth = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("d"))
     n_labels = (depth.first()["d"] or 0)  # one number; longer suffixes can't be named by a rule
+    if salts is None:
+        salts = max(64, -(-pages.count() * max(n_labels, 1) // PIECE))
     urls = split_url(pages).withColumn("row", F.monotonically_increasing_id())
     labels = F.reverse(F.split("host", r"\."))
     probes = (urls.withColumn("labels", F.when(F.col("host") != "", labels))
