@@ -23,4 +23,4 @@ def test_counts_use_partial_aggregation_and_group_limit(spark):
 def test_filter_and_columns_reach_the_scan(spark):
     p = plan(E.queries()["sentences_by_type"](spark, SF))
     assert "PushedFilters: [IsNotNull(protocol_type), EqualTo(protocol_type,committee)]" in p
-    assert "ReadSchema: struct<sent_id:bigint,protocol_type:string,sentence_text:string>" in p
+    assert "ReadSchema: struct<sent_id:string,protocol_type:string,sentence_text:string>" in p

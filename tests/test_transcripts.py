@@ -32,7 +32,7 @@ def test_hebrew_transcript_to_sentences(spark):
     marked = HEBREW.marked_files[0]
     files = {
         "25_ptm_100.docx": ["פרוטוקול מס' 7", "דברי פתיחה שאינם של איש כאן.", "דוד לוי:", "אנחנו פותחים היום את הדיון הזה. קצר מאוד.", "נמשיך מחר בבוקר בשעה עשר!",
-                            "יו\"ר משה כהן (סיעה):", "תודה רבה לכל חברי הוועדה כאן --", "זה משפט נוסף של היושב ראש עכשיו."],
+                            "יו\"ר משה כהן (סיעה):", "תודה רבה לכל חברי הוועדה כאן -- היום.", "זה משפט נוסף של היושב ראש עכשיו."],
         marked: ["<< דובר >> רות ישראלי:", "זהו משפט ראשון של הדוברת בקובץ הזה."]}
     rows = TR.sentence_records(_paras(spark, files), HEBREW).orderBy("file_id", "turn_id", "piece_pos").collect()
     one = [r for r in rows if r["file_id"] == "25_ptm_100.docx"]
