@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import offsets, slices
+from .common import offsets, saved, slices
 from .tokens import bpe_50k, encoder
 
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -228,7 +228,8 @@ def fetch(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     own = Window.partitionBy("z").orderBy("k", "kind").rowsBetween(Window.unboundedPreceding, 0)
     placed = (both.withColumn("z", zone).withColumn("near", F.last("s", ignorenulls=True).over(own)).join(carried, "z")
               .filter("kind = 1").select(F.col("k").alias("doc_id"), F.coalesce("near", "carry.s").alias("s")).filter("s IS NOT NULL"))
-    asked = placed.select("s.part", "s.seq", "doc_id")
+    asked = saved(placed.select("s.part", "s.seq", "doc_id"), "asked")
+    shards = shards.join(asked.select("part", "seq").distinct(), ["part", "seq"], "left_semi")  # no other shard is shuffled
 
     def one(key, left, right):
         wanted = left.column("doc_id").to_numpy()

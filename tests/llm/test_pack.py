@@ -66,3 +66,43 @@ def test_each_id_lies_in_one_piece(spark):
             assert [r.start for r in own] == np.cumsum([0] + [r.length for r in own[:-1]]).tolist()
     assert sum(r.length for r in pieces) == sum(len(plain.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in fx.doc_rows())
     assert p.with_crc(p.pack(docs.limit(0))).count() == 0
+
+
+def plain_best_fit(lengths, window):
+    """Longest first, each into the fullest window that has room."""
+    windows = []
+    for need in sorted(lengths, reverse=True):
+        fits = [w for w in windows if sum(w) + need <= window]
+        if fits:
+            max(fits, key=sum).append(need)
+        else:
+            windows.append([need])
+    return windows
+
+
+def test_assignment_equals_best_fit_decreasing():
+    rng = random.Random(3)
+    for n, window in ((0, 50), (1, 50), (60, 50), (400, 300), (300, 17)):
+        lengths = [rng.randint(1, window) for _ in range(n)]
+        got = p.best_fit(lengths, window, cut_gap=window + 1)  # nothing is cut
+        assert sorted(item for w in got for item, _, _ in w) == list(range(n))
+        assert all(start == 0 and length == lengths[item] for w in got for item, start, length in w)
+        want = plain_best_fit(lengths, window)
+        assert sorted(sum(x[2] for x in w) for w in got) == sorted(map(sum, want))  # windows equally full are interchangeable
+
+
+def test_cut_pieces_tile_their_items():
+    rng = random.Random(4)
+    lengths = [rng.randint(1, 200) for _ in range(500)]
+    parts = defaultdict(list)
+    for w in p.best_fit(lengths, 256, cut_gap=16):
+        assert sum(x[2] for x in w) <= 256
+        for item, start, length in w:
+            parts[item].append((start, length))
+    for item, own in parts.items():
+        at = 0
+        for start, length in sorted(own):
+            assert start == at and length > 0
+            at += length
+        assert at == lengths[item]
+    assert len(parts) == len(lengths)
