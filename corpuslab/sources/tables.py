@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import exists
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -16,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def table_or(spark: SparkSession, path: str, fallback: str) -> DataFrame:
+    """The Parquet table at ``path``, or at ``fallback`` if there is none."""
+    return spark.read.parquet(path if exists(spark, path) else fallback)
+
+
 def spread(df: DataFrame, key: str, factor: int = 2) -> DataFrame:
     """Hash-spread a scan that arrives in fewer partitions than the cluster
     has cores (a single large row group reads as one task). Large inputs

@@ -47,3 +47,12 @@ def test_unreadable_files_are_listed(spark, tmp_path):
     assert [tuple(r) for r in DX.read_paragraphs(spark, str(tmp_path)).collect()] == [("20_ptm_1.docx", 0, "A:\tb")]
     bad = {r["protocol_name"]: r["error"].split(":")[0] for r in DX.rejected_files(spark, str(tmp_path)).collect()}
     assert bad == {"1_ptm_2.docx": "BadZipFile", "2_ptm_3.docx": "KeyError", "3_ptm_4.docx": "ParseError"}
+
+
+def test_fallback_table(spark, tmp_path):
+    from corpuslab.sources.tables import table_or
+
+    spark.range(3).write.parquet(str(tmp_path / "b"))
+    assert table_or(spark, str(tmp_path / "a"), str(tmp_path / "b")).count() == 3
+    spark.range(5).write.parquet(str(tmp_path / "a"))
+    assert table_or(spark, str(tmp_path / "a"), str(tmp_path / "b")).count() == 5
