@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import offsets, saved, slices
+from .common import bounded, offsets, saved, slices
 from .tokens import bpe_50k, encoder
 
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -122,7 +122,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
         held = 0
         for b in batches:
             docs = b.column("doc_id").to_pylist()
-            for first, texts in slices(b, "text"):
+            for first, texts in slices(b, "text", 4 << 20):
                 flat, ends = encode(texts)
                 for k in range(len(texts)):
                     doc, own = docs[first + k], np.append(flat[ends[k]:ends[k + 1]], np.uint32(end_id))
@@ -142,7 +142,7 @@ def _shards(path: str, end_id: int, shard_ids: int):
 
 def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 0, shard_ids: int = 1 << 20) -> None:
     """Writes the shards of ``docs`` in ascending order of doc_id."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text"), F.xxhash64("text").alias("h"))
+    rows = bounded(docs).select(F.col("doc_id").cast("bigint"), F.col("text"), F.xxhash64("text").alias("h"))
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     rows.mapInArrow(_shards(path or bpe_50k(), end_id, shard_ids), SHARD).write.parquet(folder)
 

@@ -29,7 +29,7 @@ _FIRST = "\ud800"
 #: Key of a line end between two units.
 _LINE_END = _FIRST + "\n"
 #: Units that are encoded in one string.
-LINES = 32
+LINES = 16
 #: Signs that a unit may lose at its end.
 ENDS = (".", ",")
 
@@ -47,7 +47,7 @@ class ChunkEncoder:
     """Keeps the ids of up to ``keep`` distinct chunks, then only those of the first third,
     which are the usual ones (bounded memory)."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 1_300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -125,6 +125,12 @@ class ChunkEncoder:
                     of.append(-1 - todo[c])
                     sizes.append(1)
                     continue
+                if "\n" not in c and c[-2:-1].isalpha():  # one sign after a letter
+                    n, end = number(c[:-1], known), number(_FIRST + c[-1], known)
+                    of.append(n if n < known else -1 - todo[c[:-1]])
+                    of.append(end if end < known else -1 - todo[_FIRST + c[-1]])
+                    sizes.append(2)
+                    continue
                 own = self._units(c)
                 sizes.append(len(own))
                 for u in own:
