@@ -84,3 +84,25 @@ def test_carry_forward_drops_paragraphs_before_first_header(spark):
 
 def test_ws_tokens_unicode_whitespace(spark):
     assert one(spark, T.ws_tokens, "a b\tc  d") == ["a", "b", "c", "d"]
+
+
+def test_strip_and_collapse_know_every_white_space(spark):
+    spaces = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       　"
+    texts = [f"{s}{t}a{s}b{s}{t} c {t}{s}" for s in spaces for t in spaces] + ["", " ", "\n", "​a​"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    rows = df.select("x", T.py_strip("x").alias("s"), T.collapse_ws("x").alias("c")).collect()
+    assert all(r.s == r.x.strip() and r.c == " ".join(r.x.split()) for r in rows)
+
+
+def test_one_row_group_is_spread(spark, tmp_path):
+    """A scan of many splits whose rows lie in one row group is one task's work."""
+    from corpuslab.sources import tables
+    spark.range(0, 60_000, 1, 1).selectExpr("id AS doc_id", "repeat(md5(cast(id AS string)), 30) AS text").write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = spark.read.parquet(str(tmp_path / "t"))
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        sizes = [r["count"] for r in tables.spread(df, "doc_id").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 60_000 and max(sizes) < 60_000 / spark.sparkContext.defaultParallelism
