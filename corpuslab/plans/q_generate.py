@@ -24,8 +24,10 @@ def _class_model(spark, sf_dir):
     """A model for each label, from all its reviews and their whole texts."""
     rv = FT.reviews(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     m = LM.fit(rv.select(F.col("label").cast("string").alias("corpus"), T.ws_tokens("text").alias("tokens")))
-    key = os.path.abspath(sf_dir)
-    return LM.Model(*[materialize(getattr(m, n), key, f"class_lm_{n}") for n in ("uni", "bi", "tri", "stats")])
+    uni = materialize(m.uni, os.path.abspath(sf_dir), "class_lm_uni")
+    # of the longer n-grams only those after the prompt are read: the filter
+    # reaches below their counts, so the others are never shuffled
+    return LM.Model(uni, m.bi, m.tri, LM.stats_of(uni))
 
 
 CLASS_LM = f"""reviews AS (SELECT d.doc_id, d.text, CAST(l.quality AS BIGINT) AS label FROM documents d JOIN labels l USING (doc_id)),

@@ -89,3 +89,31 @@ def test_group_rank_equals_window_rank_with_hot_group(spark):
     w = Window.partitionBy("grp").orderBy(*order)
     want = {(r["sent_id"], r["rk"]) for r in df.withColumn("rk", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_chains_of_masks_and_rows_that_share_a_key(spark):
+    """Rows of one key are told apart by their masks; equal ones stay two rows."""
+    train = corpus(spark, ["a b c d e f", "a b c d e f", "x y z"])
+    masked = [(0, ["a", "[*]", "[*]", "d", "[*]"]), (0, ["a", "[*]", "[*]", "d", "[*]"]), (0, ["[*]", "y"]),
+              (1, ["q", "q", "[*]", "[*]", "[*]"]), (2, ["a", "b"])]
+    df = spark.createDataFrame(masked, "sent_id long, masked array<string>")
+    got = sorted((r.sent_id, r.restored, r.generated) for r in LM.restore(df, LM.fit(train), "c").collect())
+    # the plain way, one sentence after the other
+    top = {(r.w1, r.w2): r.token for r in LM.best_next(LM.fit(train)).collect()}
+    want = []
+    for i, row in masked:
+        cur = list(row)
+        for j, x in enumerate(cur):
+            if x == "[*]":
+                cur[j] = top.get((cur[j - 2] if j >= 2 else "<s_0>", cur[j - 1] if j >= 1 else "<s_1>"), "a")
+        want.append((i, cur, [c for c, x in zip(cur, row) if x == "[*]"]))
+    assert got == sorted(want)
+
+
+def test_restoration_writes_masks_not_sentences(spark, monkeypatch):
+    """Each round keeps (key, place, context) of the masks that are left."""
+    kept = []
+    monkeypatch.setattr(LM, "saved", lambda df, name: kept.append((name, df.columns)) or df.localCheckpoint())
+    df = spark.createDataFrame([(0, ["[*]", "[*]", "[*]"])], "sent_id long, masked array<string>")
+    LM.restore(df, LM.fit(corpus(spark, ["a b c"])), "c").collect()
+    assert len(kept) > 3 and all("masked" not in c and "_cur" not in c for _, c in kept)
