@@ -117,3 +117,11 @@ def test_restoration_writes_masks_not_sentences(spark, monkeypatch):
     df = spark.createDataFrame([(0, ["[*]", "[*]", "[*]"])], "sent_id long, masked array<string>")
     LM.restore(df, LM.fit(corpus(spark, ["a b c"])), "c").collect()
     assert len(kept) > 3 and all("masked" not in c and "_cur" not in c for _, c in kept)
+
+
+def test_both_metrics_come_from_one_count(spark):
+    sent = corpus(spark, ["a b a b c", "a b c", "a b", "b c", "a"])
+    stats = G.ngram_stats(sent, (2, 3), 2)
+    assert {(r.n, r.ngram): (r.cnt, r.df) for r in stats.collect()} == {(2, "a b"): (4, 3), (2, "b c"): (3, 3), (3, "a b c"): (2, 2)}
+    for f in (G.frequency_collocations, G.tfidf_collocations):
+        assert sorted(f(sent, (2, 3), 2, stats=stats).collect()) == sorted(f(sent, (2, 3), 2).collect())
