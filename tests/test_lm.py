@@ -125,3 +125,58 @@ def test_both_metrics_come_from_one_count(spark):
     assert {(r.n, r.ngram): (r.cnt, r.df) for r in stats.collect()} == {(2, "a b"): (4, 3), (2, "b c"): (3, 3), (3, "a b c"): (2, 2)}
     for f in (G.frequency_collocations, G.tfidf_collocations):
         assert sorted(f(sent, (2, 3), 2, stats=stats).collect()) == sorted(f(sent, (2, 3), 2).collect())
+
+
+def scoring_rows(spark):
+    train = corpus(spark, ["a b c d", "a b a b c", "x y"]).unionByName(corpus(spark, ["b c d", "q a b"], "d"))
+    rows = [(0, "c", "a b c d e"), (0, "c", "a b c d e"), (0, "c", "x"), (1, "d", "q q q"), (2, "d", "zz"), (3, "c", "a b c d e f g a b")]
+    test = spark.createDataFrame([(k, m, t.split()) for k, m, t in rows], "sent_id long, model string, tokens array<string>")
+    return LM.fit(train), test
+
+
+def test_scoring_equals_the_probability_of_each_position(spark):
+    """Rows that share a key are summed; words and models without counts stay."""
+    m, test = scoring_rows(spark)
+    plain = LM.interpolated(LM.positions(test), m).groupBy("sent_id", "model").agg(F.sum(F.log2("p")).alias("lp"))
+    want = {(r.sent_id, r.model): r.lp for r in plain.collect()}
+    got = {(r.sent_id, r.model): r.logprob for r in LM.sentence_logprob(test, m).collect()}
+    assert len(want) == 4 and got == pytest.approx(want)
+    both = {r.sent_id: (r.c, r.d) for r in LM.cross_logprob(test.drop("model"), m, ["c", "d"]).collect()}
+    for j, k in enumerate("cd"):
+        one = LM.sentence_logprob(test.withColumn("model", F.lit(k)), m)
+        assert {r.sent_id: r.logprob for r in one.collect()} == pytest.approx({i: v[j] for i, v in both.items()})
+
+
+def test_perplexity_reads_the_masked_positions(spark):
+    m, test = scoring_rows(spark)
+    rows = test.withColumnRenamed("tokens", "restored").withColumn("masked", F.transform("restored", lambda x, i: F.when(i % 3 == 1, "[*]").otherwise(x)))
+    for part in (rows, rows.filter("model = 'c'")):  # several models, and one
+        p = LM.interpolated(LM.positions(part.select("sent_id", "model", F.col("restored").alias("tokens"))), m).filter("i % 3 = 1")
+        want = {(r.sent_id, r.model): 2 ** -r.a for r in p.groupBy("sent_id", "model").agg(F.avg(F.log2("p")).alias("a")).collect()}
+        got = LM.masked_perplexity(part, m).collect()
+        assert len(got) == part.count()
+        assert {(r.sent_id, r.model): r.perplexity for r in got} == pytest.approx({(r.sent_id, r.model): want.get((r.sent_id, r.model), math.inf) for r in got})
+
+
+def test_positions_are_shuffled_for_one_lookup_and_back(spark):
+    """No triple is made distinct or joined for each of its counts: the answers
+    come from one join, whatever the number of models."""
+    m, test = scoring_rows(spark)
+    for df in (LM.sentence_logprob(test, m), LM.cross_logprob(test, m, ["c", "d"])):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert sum("_h2#" in x and "Join" in x for x in plan.split("\n")) == 1
+        assert not any("Aggregate [model#" in x and "w1#" in x for x in plan.split("\n"))
+
+
+def test_late_rounds_do_not_shuffle_the_table_of_contexts(spark, monkeypatch):
+    train = corpus(spark, ["a b c d e f", "a b c x", "x y z"])
+    df = spark.createDataFrame([(0, ["a", "[*]", "[*]", "[*]", "e"]), (1, ["x", "[*]"])], "sent_id long, masked array<string>")
+    few = sorted(map(tuple, LM.restore(df, LM.fit(train), "c").collect()))
+    monkeypatch.setattr(LM, "FEW_MASKS", 0)
+    assert few == sorted(map(tuple, LM.restore(df, LM.fit(train), "c").collect()))
+    monkeypatch.undo()
+    plans, keep = [], LM.saved
+    monkeypatch.setattr(LM, "saved", lambda d, name: plans.append((name, d._jdf.queryExecution().optimizedPlan().toString())) or keep(d, name))
+    LM.restore(df, LM.fit(train), "c").collect()
+    filled = [p for name, p in plans if name == "filled"]
+    assert filled and all("strategy=broadcast" in p for p in filled)
