@@ -5,9 +5,12 @@ labelled bad one); the logistic loss on feature differences gives a linear score
 Bradley-Terry strength. The threshold is the quantile of the training rows' scores at the
 share of bad rows; scores are mapped so that it lies at ``threshold`` (0.7).
 
-Features are computed once for every document (whole texts) and written. Only the fit runs
-on the driver, on at most ``max_rows`` labelled rows (the first by a hash of the id; a few
-MB); scoring is a column expression over all documents.
+Features are computed once for every document (whole texts) and written. The fit learns from
+every labelled row that it may see: rows are dealt to blocks of some hundred, each with rows
+of either label (those of a rare label lie in several), and all pairs of a good and a bad row
+of a block are compared, so pairs grow with the rows. A block adds up gradient and Hessian; only
+such sums pass through the driver, which takes the Newton steps. The quantiles are those of
+all learnt rows, by ranks. Scoring is a column expression over all documents.
 
 Defined results: null and empty texts have all features zero and are scored; repeated rows
 and null ids are scored one by one; an id labelled twice with both labels is not learnt
@@ -18,6 +21,7 @@ rejected. Extra columns are not read by ``scores``. Empty in, empty out.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslab.operators.sampling import group_rank
+from corpuslab.session import checkpoint_dir
+
 from .common import bounded, saved, unused
 
 FEATURES = ("long", "repeats", "signs", "bars", "capitals", "shouts", "squeeze", "squeeze_more", "word_length", "digits",
@@ -73,24 +80,115 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def newton(sums, width: int, l2: float = 1e-4, steps: int = 25) -> np.ndarray:
+    """The weights at the least loss; ``sums(w)``: mean gradient and Hessian over the pairs."""
+    w = np.zeros(width)
+    for _ in range(steps):
+        grad, hess = sums(w)
+        step = np.linalg.solve(hess + (l2 + 1e-6) * np.eye(width), grad + l2 * w)
+        w = w - step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
 def fit(good: np.ndarray, bad: np.ndarray, pairs: int = 200_000, l2: float = 1e-4, steps: int = 25, seed: int = 7):
-    """Weights of the Bradley-Terry model by Newton steps on the logistic loss of good - bad differences."""
+    """Weights of the Bradley-Terry model by Newton steps on the logistic loss of good - bad
+    differences, of pairs drawn from two arrays: a plain form that the queries don't use."""
     rng = np.random.default_rng(seed)
     n = min(pairs, len(good) * len(bad) * 4)
     x = good[rng.integers(0, len(good), n)] - bad[rng.integers(0, len(bad), n)]
     scale = x.std(axis=0)
     scale[scale < 1e-9] = 1.0
     x = x / scale
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
+
+    def sums(w):
         p = 1 / (1 + np.exp(np.clip(x @ w, -30, 30)))  # chance that the model gives the pair the other way
-        grad = -(x * p[:, None]).mean(axis=0) + l2 * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x / len(x) + (l2 + 1e-6) * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w = w - step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-6:
-            break
-    return w / scale
+        return -(x * p[:, None]).mean(axis=0), (x * (p * (1 - p))[:, None]).T @ x / len(x)
+
+    return newton(sums, x.shape[1], l2, steps) / scale
+
+
+BLOCK = 512  # rows of the more frequent label in a block
+PARTNERS = 16  # rows of the other label in each block, at least (all of them, if there are fewer)
+
+
+def blocks(rows: DataFrame, n_good: int, n_bad: int) -> DataFrame:
+    """good, bad: the features of a block's rows, one after the other. ``rows``: doc_id, good, features."""
+    most, least = max(n_good, n_bad), min(n_good, n_bad)
+    n_blocks = math.ceil(most / BLOCK)
+    each = max(math.ceil(least / n_blocks), min(PARTNERS, least))  # a run of the rarer rows, round and round
+    checkpoint_dir(rows.sparkSession)
+    at = F.col("_rank") - 1
+    ranked = group_rank(rows, ["good"], [F.xxhash64("doc_id"), F.col("doc_id")], "_rank")
+    frequent = F.col("good") == int(n_good >= n_bad)
+    places = F.when(frequent, F.array(at % n_blocks)).otherwise(
+        F.transform(F.sequence(at, F.lit(n_blocks * each - 1), F.lit(least)), lambda u: F.floor(u / each)))
+    of = lambda label: F.flatten(F.sort_array(F.collect_list(F.when(F.col("good") == label, F.col("features"))))).alias(("bad", "good")[label])
+    return saved(ranked.select("good", "features", F.explode(places).alias("block")).groupBy("block").agg(of(1), of(0)), "blocks")
+
+
+def _added(of_block, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for b in batches:
+            for g, x in zip(b.column("good"), b.column("bad")):
+                total += of_block(*(v.values.to_numpy().reshape(-1, len(FEATURES)) for v in (g, x)))
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+    return run
+
+
+def added(pairs: DataFrame, of_block, width: int) -> np.ndarray:
+    """The sum over all blocks; each task adds up its own."""
+    return sum((np.array(r["sums"]) for r in pairs.mapInArrow(_added(of_block, width), "sums array<double>").collect()), np.zeros(width))
+
+
+def fit_blocks(pairs: DataFrame) -> np.ndarray:
+    """Weights of the Bradley-Terry model by Newton steps on the logistic loss of all good - bad
+    differences in the blocks."""
+    k = len(FEATURES)
+
+    def squares(g, b):
+        first = len(b) * g.sum(axis=0) - len(g) * b.sum(axis=0)
+        second = len(b) * (g * g).sum(axis=0) - 2 * g.sum(axis=0) * b.sum(axis=0) + len(g) * (b * b).sum(axis=0)
+        return np.concatenate([[len(g) * len(b)], first, second])
+
+    totals = added(pairs, squares, 1 + 2 * k)
+    n = totals[0]
+    scale = np.sqrt(np.maximum(0.0, totals[k + 1:] / n - (totals[1:k + 1] / n) ** 2))
+    scale[scale < 1e-6] = 1.0
+
+    def sums(w):
+        def slopes(g, b):
+            g, b = g / scale, b / scale
+            p = 1 / (1 + np.exp(np.clip((g @ w)[:, None] - (b @ w)[None, :], -30, 30)))
+            grad = b.T @ p.sum(axis=0) - g.T @ p.sum(axis=1)
+            p *= 1 - p
+            mixed = g.T @ p @ b
+            hess = (g.T * p.sum(axis=1)) @ g + (b.T * p.sum(axis=0)) @ b - mixed - mixed.T
+            return np.concatenate([grad, hess.reshape(-1)])
+
+        out = added(pairs, slopes, k + k * k) / n
+        return out[:k], out[k:].reshape(k, k)
+
+    return newton(sums, k) / scale
+
+
+def quantile(rows: DataFrame, value: Column, q: float, n: int) -> float:
+    """As ``numpy.quantile`` of all ``n`` values, which are ranked in range pieces."""
+    at = q * (n - 1)
+    low = math.floor(at)
+    checkpoint_dir(rows.sparkSession)
+    ranked = group_rank(rows.select(F.lit(0).alias("_g"), value.alias("_v")), ["_g"], ["_v"], "_rank")
+    x = sorted((r["_rank"], r["_v"]) for r in ranked.filter(F.col("_rank").between(low + 1, low + 2)).collect())
+    return float(x[0][1] + (x[-1][1] - x[0][1]) * (at - low))
+
+
+def strength(weights: np.ndarray, features: Column) -> Column:
+    total = F.lit(0.0)
+    for i, w in enumerate(weights):
+        total = total + F.lit(float(w)) * features[i]
+    return total
 
 
 class Model:
@@ -100,36 +198,30 @@ class Model:
     @classmethod
     def train(cls, measured: DataFrame, labels: DataFrame, threshold: float = 0.7) -> Model:
         """``measured``: doc_id, features; ``labels``: doc_id, quality."""
-        rows = (measured.join(chosen(labels), "doc_id")
-                .groupBy("doc_id").agg(F.first("good").alias("good"), F.min("features").alias("features"))
-                .select("good", "features").toArrow())
-        y = rows.column("good").to_numpy()
-        x = np.array(rows.column("features").to_pylist(), float).reshape(len(y), len(FEATURES))
-        good, bad = x[y == 1], x[y == 0]
-        if not len(good) or not len(bad):
+        rows = saved(measured.join(chosen(labels), "doc_id").groupBy("doc_id")
+                     .agg(F.first("good").cast("int").alias("good"), F.min("features").alias("features")), "learnt")
+        sizes = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count("*").alias("n")).collect()}
+        n_good, n_bad = sizes.get(1, 0), sizes.get(0, 0)
+        if not n_good or not n_bad:
             return cls(np.zeros(len(FEATURES)), 0.0, 1.0, threshold)
-        order = np.lexsort(x.T)  # the same fit whatever the order of the rows
-        y, x = y[order], x[order]
-        weights = fit(x[y == 1], x[y == 0])
-        strength = x @ weights
-        cut = float(np.quantile(strength, len(bad) / len(y)))
-        spread = max(1e-6, float(np.quantile(np.abs(strength - cut), 0.5)))
+        weights = fit_blocks(blocks(rows, n_good, n_bad))
+        strengths = saved(rows.select(strength(weights, F.col("features")).alias("strength")), "strengths")
+        cut = quantile(strengths, F.col("strength"), n_bad / (n_good + n_bad), n_good + n_bad)
+        spread = max(1e-6, quantile(strengths, F.abs(F.col("strength") - cut), 0.5, n_good + n_bad))
         return cls(weights, cut, 2.0 / spread, threshold)
 
     def score(self, features: Column) -> Column:
-        total = F.lit(-self.cut)
-        for i, w in enumerate(self.weights):
-            total = total + F.lit(float(w)) * features[i]
+        total = strength(self.weights, features) - F.lit(self.cut)
         shift = math.log(self.threshold / (1 - self.threshold))
         z = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), F.lit(self.slope) * total)) + F.lit(shift)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def chosen(labels: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """doc_id, good: at most ``max_rows`` labelled rows that the fit may see."""
-    known = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-             .groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high"))
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", F.col("high").alias("good"))
+def chosen(labels: DataFrame) -> DataFrame:
+    """doc_id, good: all labelled rows that the fit may see."""
+    return (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high")).filter("low = high")
+            .select("doc_id", F.col("high").alias("good")))
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -145,10 +237,8 @@ def scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFr
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The documents predicted good, with all their columns. Only the rows of the fit are
-    measured for it (few, by a bound); all documents are measured once, where they are judged."""
-    few = saved(chosen(labels).select("doc_id"), "chosen")
-    of_fit = measured(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id", "left_semi"))
-    model = Model.train(of_fit, labels, threshold=threshold)
+    """The documents predicted good, with all their columns. Documents are measured for the fit
+    and once more where they are judged, so that no text is written or shuffled for it."""
+    model = Model.train(measured(docs), labels, threshold=threshold)
     name = unused(docs, "quality_score")
     return bounded(docs).withColumn(name, model.score(features(F.col("text")))).filter(F.col(name) >= threshold).drop(name)

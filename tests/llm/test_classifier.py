@@ -103,3 +103,44 @@ def test_fit_is_the_minimum_of_the_pairwise_loss():
         m = (x / scale) @ w
         w -= 0.5 * (-(x / scale) * (1 / (1 + np.exp(m)))[:, None]).mean(axis=0) + 0.5 * 1e-4 * w
     assert np.allclose(got, w / scale, atol=1e-4)
+
+
+def feature_rows(n_good, n_bad, seed=3):
+    rng = np.random.default_rng(seed)
+    x = rng.uniform(0, 1, (n_good + n_bad, len(c.FEATURES)))
+    x[:n_good, 2] += 0.5
+    return [(i, int(i < n_good), list(map(float, v))) for i, v in enumerate(x)]
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """More rows than one block or the former bound of 20,000 holds: none is left out."""
+    marks = spark.range(30_000).selectExpr("id AS doc_id", "CAST(id % 9 > 0 AS INT) AS quality")
+    want = {i for i in range(30_000) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r.doc_id for r in c.chosen(marks).collect()} == want
+    monkeypatch.setattr(c, "BLOCK", 8)
+    monkeypatch.setattr(c, "PARTNERS", 4)
+    for n_good, n_bad in ((100, 3), (5, 90), (64, 64), (1, 30), (20, 13)):
+        data = feature_rows(n_good, n_bad)
+        got = c.blocks(spark.createDataFrame(data, "doc_id bigint, good int, features array<double>"), n_good, n_bad).collect()
+        k = len(c.FEATURES)
+        seen = {1: set(), 0: set()}
+        for r in got:
+            for label, flat in ((1, r.good), (0, r.bad)):
+                rows = [tuple(flat[j:j + k]) for j in range(0, len(flat), k)]
+                assert min(4, n_good, n_bad) <= len(rows) == len(set(rows)) <= 9
+                seen[label] |= set(rows)
+        assert seen[1] | seen[0] == {tuple(v) for _, _, v in data} and len(seen[1]) == n_good
+
+
+def test_fit_of_blocks_is_the_minimum_over_their_pairs(spark):
+    """One block: all pairs of a good and a bad row; and ranks give numpy's quantiles."""
+    data = feature_rows(60, 40)
+    df = spark.createDataFrame(data, "doc_id bigint, good int, features array<double>").repartition(3)
+    got = c.fit_blocks(c.blocks(df, 60, 40))
+    x = np.array([v for _, _, v in data])
+    d = (x[:60, None] - x[None, 60:]).reshape(-1, x.shape[1])
+    w = got * d.std(axis=0)
+    p = 1 / (1 + np.exp(d / d.std(axis=0) @ w))
+    assert np.abs(-(d / d.std(axis=0) * p[:, None]).mean(axis=0) + 1e-4 * w).max() < 1e-6
+    for q in (0.0, 0.4, 0.5, 0.77, 1.0):
+        assert abs(c.quantile(df, c.F.col("features")[0], q, 100) - np.quantile(x[:, 0], q)) < 1e-12
