@@ -129,7 +129,7 @@ def test_both_metrics_come_from_one_count(spark):
 
 def scoring_rows(spark):
     train = corpus(spark, ["a b c d", "a b a b c", "x y"]).unionByName(corpus(spark, ["b c d", "q a b"], "d"))
-    rows = [(0, "c", "a b c d e"), (0, "c", "a b c d e"), (0, "c", "x"), (1, "d", "q q q"), (2, "d", "zz"), (3, "c", "a b c d e f g a b")]
+    rows = [(0, "c", "a b c d e"), (0, "c", "a b c d e"), (0, "c", "x"), (1, "d", "q q q"), (2, "d", "zz"), (3, "c", "a b c d e f g a b"), (4, None, "a b")]
     test = spark.createDataFrame([(k, m, t.split()) for k, m, t in rows], "sent_id long, model string, tokens array<string>")
     return LM.fit(train), test
 
