@@ -11,7 +11,8 @@ rounds: one member with all others, then ``pivots``, its square and so on of tho
 keys with the most others first, so that the text which copies were made from soon meets
 them all), until all pairs of members that are not already in one component have been met.
 Groups of near copies join after the first round and drop out, so their pairs are never
-expanded; no member, partner or bucket is capped.
+expanded; no member, partner or bucket is capped. After the first round a pair meets only in
+the first table of all that it shares, so two near copies make one row instead of one a table.
 
 Pairs that are not alike enough are left out inside the join by an odd sketch: bit i of it
 is the parity of the number of shingles in bin i of 1024. Each shingle that only one of two
@@ -132,7 +133,8 @@ def sketches(docs: DataFrame, width: int, n_hashes: int, with_sets: bool = False
 
 
 def _keys(m: int, r: int):
-    """Table keys: a hash of collection A paired with a hash of collection B."""
+    """Table keys: a hash of collection A paired with a hash of collection B. The remainder by
+    m * m is the number of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, len(whole), 2000):
@@ -143,7 +145,8 @@ def _keys(m: int, r: int):
                 for i in range(r):
                     h = _mix(h * _P + sig[..., i])
                 table = np.arange(m * m, dtype=np.uint64).reshape(1, m, m)
-                key = _mix((h[:, 0, :, None] * _P) ^ (h[:, 1, None, :] + table * _P))
+                key = _mix((h[:, 0, :, None] * _P) ^ (h[:, 1, None, :] + table * _P)) >> np.uint64(2)
+                key = key - key % np.uint64(m * m) + table
                 yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(np.repeat(ids, m * m))], names=["key", "id"])
     return run
 
@@ -253,6 +256,25 @@ def differ(x: str, y: str):
     return sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in ODD[1:]), F.bit_count(F.col(f"{x}{ODD[0]}").bitwiseXOR(F.col(f"{y}{ODD[0]}"))))
 
 
+def with_earlier(members: DataFrame, m: int, r: int) -> DataFrame:
+    """``earlier`` in place of the signature: the short hashes of both collections, with their
+    places, that come before those of the key's table. A pair that shares one of them, and the
+    key, shares a table before this one."""
+    short = lambda k: F.xxhash64(k, F.substring("signature", k * (4 * r) + 1, F.lit(4 * r)))
+    table = F.pmod("key", F.lit(m * m)).cast("int")
+    first = lambda start, n: F.slice("shorts", start, n)
+    rows = members.withColumn("shorts", F.transform(F.sequence(F.lit(0), F.lit(2 * m - 1)), short))
+    return rows.withColumn("earlier", F.concat(first(1, F.floor(table / m).cast("int")), first(m + 1, table % m))).drop("signature", "shorts")
+
+
+def meetings(here: DataFrame, met: int, percent: int) -> DataFrame:
+    """a, b: members of different components that share a key with one of its first ``met``
+    members, each pair in the first table that it shares."""
+    first = here.filter(F.col("rank") <= met).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "earlier", "n", *ODD)))
+    alike = (F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & _possible("", "p_", percent)
+    return here.join(first, "key").filter(alike & ~F.arrays_overlap("earlier", "p_earlier")).select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b"))
+
+
 def sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int, n_hashes: int) -> DataFrame:
     """id, n, signature, shingles and odd sketch of the classes ``ids``, from the text of the row
     with the class's smallest id; other texts with that id have another digest and fall out."""
@@ -283,14 +305,11 @@ def linked(docs: DataFrame, classes: DataFrame, width: int, m: int, r: int, perc
         here = left.withColumn("comp", F.col("id"))
         if labels is not None:
             here = saved(left.join(labels, "id", "left").select("key", "id", "rank", F.coalesce("comp", "id").alias("comp")), "labelled")
-        here = saved(mixed(here).join(sets.select("id", "n", *ODD), "id"), "left")
+        here = saved(with_earlier(mixed(here).join(sets.select("id", "n", "signature", *ODD), "id"), m, r), "left")
         if here.isEmpty():
             return labels
         met *= pivots
-        first = here.filter(F.col("rank") <= met).select("key", *(F.col(c).alias(f"p_{c}") for c in ("id", "rank", "comp", "n", *ODD)))
-        pairs = (here.join(first, "key").filter((F.col("rank") > F.col("p_rank")) & (F.col("comp") != F.col("p_comp")) & _possible("", "p_", percent))
-                 .select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
-        found = confirmed(pairs, sets, percent, floor)
+        found = confirmed(meetings(here, met, percent).distinct(), sets, percent, floor)
         links = links.unionByName(found)
         left = here.select("key", "id", "rank")
 

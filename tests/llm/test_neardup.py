@@ -137,3 +137,21 @@ def test_rounds_and_floor_find_the_same_links(spark):
     docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(family(7, 12, 0.03) + family(8, 12, 0.045))], fx.DOCS)
     want = sorted(map(tuple, n.components(docs).collect()))
     assert want == sorted(map(tuple, n.components(docs, floor=0.6).collect())) == sorted(map(tuple, n.components(docs, pivots=2).collect()))
+
+
+def test_a_pair_meets_only_in_the_first_table_it_shares(spark):
+    import pyarrow as pa
+    m, r = 4, 3
+    rng = np.random.default_rng(3)
+    sigs = np.where(rng.random((40, 2 * m * r)) < 0.85, np.arange(2 * m * r), rng.integers(100, 1 << 30, (40, 2 * m * r))).astype(np.uint32)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([s.tobytes() for s in sigs], pa.binary())], names=["id", "signature"])
+    keys = [(k, i) for out in n._keys(m, r)(iter([batch])) for k, i in zip(out.column("key").to_pylist(), out.column("id").to_pylist())]
+    by_key = {}
+    for k, i in keys:
+        by_key.setdefault(k, []).append(i)
+    shared = {(a, b) for ids in by_key.values() for a in ids for b in ids if a < b}
+    assert sum(len(ids) * (len(ids) - 1) // 2 for ids in by_key.values()) > 2 * len(shared) > 200
+    rows = [(k, i, 1 + ids.index(i), i, 100, bytearray(sigs[i].tobytes()), *[0] * 16) for k, ids in by_key.items() for i in ids]
+    here = spark.createDataFrame(rows, "key bigint, id bigint, rank bigint, comp bigint, n bigint, signature binary, " + ", ".join(f"{c} bigint" for c in n.ODD))
+    met = [(x.a, x.b) for x in n.meetings(n.with_earlier(here, m, r), 1000, 80).collect()]
+    assert len(met) == len(set(met)) and set(met) == shared
