@@ -168,6 +168,27 @@ def test_positions_are_shuffled_for_one_lookup_and_back(spark):
         assert not any("Aggregate [model#" in x and "w1#" in x for x in plan.split("\n"))
 
 
+def test_rows_are_scored_in_slices(spark, monkeypatch):
+    """Sums and means of a key whose rows lie in several slices; a slice is written before the next one."""
+    m, test = scoring_rows(spark)
+    masked = test.withColumnRenamed("tokens", "restored").withColumn("masked", F.transform("restored", lambda x, i: F.when(i % 3 == 1, "[*]").otherwise(x)))
+
+    def results():
+        one = {(r.sent_id, r.model): r.logprob for r in LM.sentence_logprob(test, m).collect()}
+        two = {r.sent_id: (r.c, r.d) for r in LM.cross_logprob(test.drop("model"), m, ["c", "d"]).collect()}
+        ppl = [sorted((r.sent_id, str(r.model), r.perplexity) for r in LM.masked_perplexity(d, m).collect()) for d in (masked, masked.filter("model = 'c'"))]
+        return one, two, ppl
+    one, two, ppl = results()
+    kept, keep = [], LM.saved
+    monkeypatch.setattr(LM, "saved", lambda df, name: kept.append(name) or keep(df, name))
+    monkeypatch.setattr(LM, "SLICE_TOKENS", 3)
+    got = results()
+    assert got[0] == pytest.approx(one) and {k: pytest.approx(v) for k, v in two.items()} == got[1]
+    assert [[x[:2] for x in p] for p in got[2]] == [[x[:2] for x in p] for p in ppl]
+    assert [[x[2] for x in p] for p in got[2]] == [pytest.approx([x[2] for x in p]) for p in ppl]
+    assert kept.count("scored") == 4 and kept.count("log-sums") >= 4 + 4 + 2 + 2
+
+
 def test_late_rounds_do_not_shuffle_the_table_of_contexts(spark, monkeypatch):
     train = corpus(spark, ["a b c d e f", "a b c x", "x y z"])
     df = spark.createDataFrame([(0, ["a", "[*]", "[*]", "[*]", "e"]), (1, ["x", "[*]"])], "sent_id long, masked array<string>")
@@ -180,3 +201,33 @@ def test_late_rounds_do_not_shuffle_the_table_of_contexts(spark, monkeypatch):
     LM.restore(df, LM.fit(train), "c").collect()
     filled = [p for name, p in plans if name == "filled"]
     assert filled and all("strategy=broadcast" in p for p in filled)
+
+
+def test_a_saved_model_is_written_once(spark, tmp_path, monkeypatch):
+    from corpuslab.plans import q_lm
+    kept, keep = [], q_lm.materialize
+    monkeypatch.setattr(q_lm, "materialize", lambda df, *key: kept.append(key[-1]) or keep(df, *key))
+    text = "The green house stands near the old river bank. " * 3
+    spark.createDataFrame([(i, text, "en", "s") for i in range(3)], "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = q_lm.q_lm_save_load(spark, str(tmp_path)).collect()
+    assert [r.corpus for r in rows] == ["en"] and kept == ["lm_uni", "lm_stats"]
+    assert {r.corpus: (r.total_tokens, r.vocab_size) for r in rows} == {r.corpus: (r.total_tokens, r.vocab_size) for r in q_lm.q_lm_stats(spark, str(tmp_path)).collect()}
+
+
+def test_shuffle_files_of_written_tables_do_not_stay(spark, tmp_path):
+    import gc
+    import time
+    from corpuslab.session import saved
+    gc.collect()
+    block = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    for _ in range(3):
+        saved(spark.range(1000).repartition(7).groupBy("id").count(), "t")
+    for _ in range(50):  # the cleaner works in a thread of its own
+        if block.shuffleStatuses().size() == 0:
+            break
+        time.sleep(0.2)
+    most = block.shuffleStatuses().size()
+    for _ in range(3):
+        saved(spark.range(1000).repartition(7).groupBy("id").count(), "t")
+    time.sleep(1)
+    assert block.shuffleStatuses().size() <= most + 2
