@@ -1,5 +1,6 @@
 """LM arithmetic on tiny corpora, sampling and balancing rules."""
 
+import hashlib
 import math
 
 import pytest
@@ -203,6 +204,37 @@ def test_late_rounds_do_not_shuffle_the_table_of_contexts(spark, monkeypatch):
     assert filled and all("strategy=broadcast" in p for p in filled)
 
 
+def test_ranked_rows_are_shuffled_once(spark, monkeypatch):
+    """Null groups and null or repeated keys have ranks too."""
+    from pyspark.sql import Window
+    rows = [(i % 90 if i % 11 else None, ["a", "b", None, "a"][i % 4], "x" * (i % 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "sent_id long, grp string, other string").repartition(5)
+    plans, keep = [], M.saved
+    monkeypatch.setattr(M, "saved", lambda d, name: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or keep(d, name))
+    ranked = M.group_rank(df, ["grp"], [M.T.md5_order(1, "sent_id"), F.col("sent_id")], "k")
+    assert ranked.columns == ["sent_id", "grp", "other", "k"] and len(plans) == 2 and "Window" not in plans[0]
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    w = Window.partitionBy("grp").orderBy(M.T.md5_order(1, "sent_id"), F.col("sent_id"))
+    cols = ["sent_id", "grp", "k"]  # rows of one key differ only in what does not rank them
+    key = lambda r: tuple(str(x) for x in r)
+    want = df.withColumn("k", F.row_number().over(w)).select(*cols).collect()
+    assert sorted(map(key, ranked.select(*cols).collect())) == sorted(map(key, want))
+
+
+def test_only_rows_that_may_be_chosen_are_ranked(spark, monkeypatch):
+    rows = [(i, 1 if i % 50 else 2) for i in range(5000)] + [(None, 1), (9999, None)]
+    df = spark.createDataFrame(rows, "sent_id long, class long")
+    ranked, rank = [], M.group_rank
+    monkeypatch.setattr(M, "group_rank", lambda d, *a: ranked.append(d.count()) or rank(d, *a))
+    got = {tuple(r) for r in M.per_group_n(df, "class", 100).collect()}
+    assert 201 <= ranked[0] < 260
+    order = lambda r: hashlib.md5(f"42:{r[0]}".encode()).hexdigest()
+    first = sorted((r for r in rows[:5000] if r[1] == 1), key=order)
+    assert got == {*first[:99], (None, 1), *(r for r in rows if r[1] == 2), (9999, None)}
+    assert M.per_group_n(df, "class", 0).count() == 0
+
+
 def test_a_saved_model_is_written_once(spark, tmp_path, monkeypatch):
     from corpuslab.plans import q_lm
     kept, keep = [], q_lm.materialize
